@@ -7,6 +7,10 @@ from importlib import import_module
 FAMILIES = (
     "fields",
     "anomalies",
+    "consistency",
+    "cross",
+    "revisions",
+    "repairs",
 )
 
 

@@ -11,6 +11,9 @@ FAMILIES = (
     "cross",
     "revisions",
     "repairs",
+    "dictionaries",
+    "coverage",
+    "watermarks",
 )
 
 

@@ -80,7 +80,7 @@ def _emit_chunk(window: int):
 
 
 def _runs_of_chunk(window: int, chunk_us: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         k, chunk = key
         runs = chunk_runs(np.sort(pdf["us"].to_numpy()), int(chunk) * chunk_us, window)
         return pd.DataFrame({"k": k, "chunk": chunk, "entry": [r[0] for r in runs], "leave": [r[1] for r in runs]})
@@ -89,7 +89,7 @@ def _runs_of_chunk(window: int, chunk_us: int):
 
 
 def _carries(window: int):
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         last, chunks, carry = NEVER, [], []
         for chunk, runs in pdf.sort_values(["chunk", "entry"]).groupby("chunk", sort=True):
             chunks.append(int(chunk))

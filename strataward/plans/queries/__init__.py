@@ -14,6 +14,9 @@ FAMILIES = (
     "dictionaries",
     "coverage",
     "watermarks",
+    "monitoring",
+    "storage",
+    "loads",
 )
 
 

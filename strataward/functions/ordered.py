@@ -32,6 +32,11 @@ def key_column(keys: Sequence[str]) -> Column:
     return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
 
 
+def whole_group(keys: Sequence[str]) -> list:
+    """Window partition of a group that fits one task."""
+    return list(keys) or [F.lit(0)]
+
+
 def _position(df: DataFrame, name: str) -> Column:
     """Monotone number for an ordering column, used to cut buckets only."""
     dtype = df.schema[name].dataType
@@ -54,6 +59,8 @@ class Ordered:
     def __init__(self, df: DataFrame, keys: list[str], window, blocked: bool, fill: Sequence[str], temps: list[str]):
         self.df = df
         self.keys = keys
+        # plain columns where possible, so that a partitioning by key is reused before and after
+        self.group = [KEY] if blocked else whole_group(keys)
         self.window = window
         self.blocked = blocked
         self._fill = set(fill)
@@ -75,7 +82,7 @@ class Ordered:
         ``source`` may name a narrower frame that holds the aggregated columns.
         """
         if not self.blocked:
-            whole = Window.partitionBy(KEY)
+            whole = Window.partitionBy(*self.group)
             return df.select("*", *[agg.over(whole).alias(name) for name, agg in aggs.items()])
         if source is None:
             base = df.where(~F.col(HALO)) if HALO in df.columns else df
@@ -105,12 +112,19 @@ def ordered(
         raise ValueError("order_by is required")
     if needs_blocks(df, keys, policy):
         return _blocks(df, keys, order_by, fill, halo, policy)
-    base = df.withColumn(KEY, key_column(keys))
-    window = Window.partitionBy(KEY).orderBy(*order_by)
+    window = Window.partitionBy(*whole_group(keys)).orderBy(*order_by)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = [F.last(c, ignorenulls=True).over(so_far).alias(f"_sw_fill_{c}") for c in fill]
-    temps = [KEY] + [f"_sw_fill_{c}" for c in fill]
-    return Ordered(base.select("*", *filled) if filled else base, keys, window, False, fill, temps)
+    temps = [f"_sw_fill_{c}" for c in fill]
+    return Ordered(df.select("*", *filled) if filled else df, keys, window, False, fill, temps)
+
+
+def unordered(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = AUTO) -> Ordered:
+    """Groups for whole-key statistics only."""
+    keys = list(keys)
+    if needs_blocks(df, keys, policy):
+        return Ordered(df.withColumn(KEY, key_column(keys)), keys, None, True, (), [KEY])
+    return Ordered(df, keys, None, False, (), [])
 
 
 def with_index(
@@ -125,7 +139,7 @@ def with_index(
     if needs_blocks(df, keys, policy):
         o = _blocks(df, keys, order_by, (), 0, policy)
         return o.finish(o.df.withColumn(name, F.col(INDEX)))
-    window = Window.partitionBy(key_column(keys)).orderBy(*order_by)
+    window = Window.partitionBy(*whole_group(keys)).orderBy(*order_by)
     return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 64 << 20
 
@@ -36,6 +37,15 @@ def plan_bytes(df: DataFrame) -> int | None:
     return int(str(plan.stats().sizeInBytes()))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the stored and in-memory inputs a plan reads.
+
+    Unlike the plan estimate this does not multiply over joins.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Broadcast hint behind a size check; otherwise the join strategy stays adaptive."""
     size = plan_bytes(df)
@@ -45,13 +55,19 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
 def needs_blocks(df: DataFrame, keys: list[str], policy: SkewPolicy) -> bool:
     """True when some key group has more rows than one task should order.
 
-    Small inputs are settled from the estimate alone. Larger ones cost one
-    pre-aggregated count over the key columns.
+    Small inputs are settled from their stored size alone. Larger ones cost one
+    pre-aggregated count over the key columns. Only the choice of plan depends on
+    this; the result does not.
     """
     if policy.mode != "auto":
         return policy.mode == "blocks"
-    size = plan_bytes(df)
-    if size is not None and size <= policy.small_bytes:
+    if input_bytes(df) <= policy.small_bytes:
         return False
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return len(counts.where(F.col("_n") > policy.max_group_rows).take(1)) > 0
+
+
+def empty_frame(spark: SparkSession, schema: str) -> DataFrame:
+    """No rows with a schema; known to be empty, so the optimizer drops what depends on it."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataward.functions.ordered import KEY, Ordered, key_column, ordered
+from strataward.functions.ordered import KEY, Ordered, key_column, ordered, unordered
 from strataward.functions.quantiles import key_quantiles
-from strataward.functions.size import AUTO, SkewPolicy, needs_blocks
+from strataward.functions.size import AUTO, SkewPolicy
 
 FLAGS = ("iqr_anomaly", "zscore_anomaly", "volatility_anomaly", "price_gap_anomaly")
 ALL = FLAGS + ("volume_confirmed",)
@@ -119,8 +119,7 @@ def _add_static_stats(d, o, source, value, keys, config, policy, parts) -> DataF
 
 def _static_flags(df, value, keys, config, policy, parts) -> DataFrame:
     """Flags that need no order: statistics per key, added to each row."""
-    blocked = needs_blocks(df, keys, policy)
-    o = Ordered(df.withColumn(KEY, key_column(keys)), keys, None, blocked, (), [KEY])
+    o = unordered(df, keys, policy)
     d = _add_static_stats(o.df, o, df, value, keys, config, policy, parts)
     d = d.withColumns(_static_columns(value, config, parts))
     return d.select(*df.columns, *[p for p in ALL if p in parts])

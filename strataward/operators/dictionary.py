@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataward.functions.ordered import with_index
-from strataward.functions.size import AUTO, SkewPolicy, broadcast_if_small
+from strataward.functions.size import AUTO, SkewPolicy, broadcast_if_small, empty_frame
 from strataward.sources import fs
 
 # fixed values: first and last ID of each kind
@@ -19,7 +19,7 @@ ID_RANGES = {
 
 
 def empty_dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "code string, id long")
+    return empty_frame(spark, "code string, id long")
 
 
 def allocate_ids(

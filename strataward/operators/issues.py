@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataward.functions.size import empty_frame
+
 COLUMNS = ("dataset", "scope", "check", "field", "entity", "period", "count", "description")
 SCHEMA = ", ".join(f"{c} {'long' if c == 'count' else 'string'}" for c in COLUMNS)
 
 
 def no_issues(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], SCHEMA)
+    return empty_frame(spark, SCHEMA)
 
 
 def text(value) -> Column:

@@ -4,18 +4,20 @@ An alert is dropped when one of the same key was *emitted* less than the window
 ago, so each decision depends on the previous emission. The chain for one key:
 emit the first alert, jump to the first one at least a window later, repeat.
 
-Small groups follow the chain in one task. Larger ones are cut into time chunks:
-every chunk works out, for each alert that could be its first emission, where the
+Groups of usual size follow the chain in one sorted pass that holds no group in
+memory. Larger ones are cut into time chunks to run in parallel: every chunk works out, for each alert that could be its first emission, where the
 chain leaves the chunk; runs of entries with one exit collapse to a row. The
 short per-key pass over those rows gives each chunk the emission it starts from.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,27 +56,26 @@ def chunk_runs(times: np.ndarray, start: int, window: int) -> list[tuple[int, in
     return runs
 
 
-def _times(alerts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key, microseconds and first alert of each instant; alerts of one instant merge."""
-    return alerts.groupBy(
-        F.to_json(F.struct(*keys)).alias("k"), F.unix_micros(F.col("ts").cast("timestamp")).alias("us")
-    ).agg(F.min("alert_id").alias("alert_id"))
-
-
-def _emit_whole(window: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("us")
-        keep = emitted_positions(pdf["us"].to_numpy(), window)
-        return pdf.iloc[keep][["k", "us", "alert_id"]]
-
-    return run
-
-
-def _emit_chunk(window: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("us")
-        keep = emitted_positions(pdf["us"].to_numpy(), window, int(pdf["carry"].iloc[0]))
-        return pdf.iloc[keep][["k", "us", "alert_id"]]
+def _walk(window: int):
+    """Keep emitted rows of batches sorted by group and time; one number of state, no group held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, last = None, NEVER
+        for batch in batches:
+            groups, times = batch.column("_group").to_pylist(), batch.column("_us").to_pylist()
+            starts = batch.column("_carry").to_pylist()
+            keep, i, n = [], 0, len(groups)
+            while i < n:
+                if groups[i] != group:
+                    group, last = groups[i], starts[i]
+                end = bisect_right(groups, group, i, n)
+                at = bisect_left(times, last + window, i, end)
+                while at < end:
+                    keep.append(at)
+                    last = times[at]
+                    at = bisect_left(times, last + window, at + 1, end)
+                i = end
+            yield batch.take(pa.array(keep, pa.int64()))
 
     return run
 
@@ -82,8 +83,8 @@ def _emit_chunk(window: int):
 def _runs_of_chunk(window: int, chunk_us: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         k, chunk = key
-        runs = chunk_runs(np.sort(pdf["us"].to_numpy()), int(chunk) * chunk_us, window)
-        return pd.DataFrame({"k": k, "chunk": chunk, "entry": [r[0] for r in runs], "leave": [r[1] for r in runs]})
+        runs = chunk_runs(np.sort(pdf["_us"].to_numpy()), int(chunk) * chunk_us, window)
+        return pd.DataFrame({"_key": k, "_chunk": chunk, "entry": [r[0] for r in runs], "leave": [r[1] for r in runs]})
 
     return run
 
@@ -91,13 +92,13 @@ def _runs_of_chunk(window: int, chunk_us: int):
 def _carries(window: int):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         last, chunks, carry = NEVER, [], []
-        for chunk, runs in pdf.sort_values(["chunk", "entry"]).groupby("chunk", sort=True):
+        for chunk, runs in pdf.sort_values(["_chunk", "entry"]).groupby("_chunk", sort=True):
             chunks.append(int(chunk))
             carry.append(last)
             at = 0 if last == NEVER else int(np.searchsorted(runs["entry"].to_numpy(), last + window, "left"))
             if at < len(runs):
                 last = int(runs["leave"].iloc[at])
-        return pd.DataFrame({"k": key[0], "chunk": chunks, "carry": carry})
+        return pd.DataFrame({"_key": key[0], "_chunk": chunks, "_carry": carry})
 
     return run
 
@@ -114,17 +115,23 @@ def suppress_alerts(
     for kind, dataset in muted:
         alerts = alerts.where(~((F.col("alert_type") == kind) & (F.col("dataset") == dataset)))
     window = window_minutes * 60_000_000
-    times = _times(alerts, keys)
-    schema = "k string, us long, alert_id string"
-    if not needs_blocks(alerts, list(keys), policy):
-        emitted = times.groupBy("k").applyInPandas(_emit_whole(window), schema)
+    columns = alerts.columns
+    rows = alerts.withColumns(
+        {"_key": F.to_json(F.struct(*keys)), "_us": F.unix_micros(F.col("ts").cast("timestamp")), "_carry": F.lit(NEVER)}
+    )
+    split = needs_blocks(alerts, list(keys), policy)
+    if not split:
+        rows = rows.withColumn("_group", F.col("_key"))
     else:
-        chunk_us = max(chunk_hours * 3_600_000_000, window)
-        cut = times.withColumn("chunk", F.floor(F.col("us") / F.lit(chunk_us)).cast("long"))
-        runs = cut.groupBy("k", "chunk").applyInPandas(
-            _runs_of_chunk(window, chunk_us), "k string, chunk long, entry long, leave long"
+        length = max(chunk_hours * 3_600_000_000, window)
+        rows = rows.withColumn("_chunk", F.floor(F.col("_us") / F.lit(length)).cast("long"))
+        instants = rows.select("_key", "_chunk", "_us").distinct()
+        runs = instants.groupBy("_key", "_chunk").applyInPandas(
+            _runs_of_chunk(window, length), "_key string, _chunk long, entry long, leave long"
         )
-        carry = runs.groupBy("k").applyInPandas(_carries(window), "k string, chunk long, carry long")
-        emitted = cut.join(carry, ["k", "chunk"]).groupBy("k", "chunk").applyInPandas(_emit_chunk(window), schema)
-    # one emission per key and window: small beside the alerts
-    return alerts.join(emitted.select("alert_id"), "alert_id", "left_semi")
+        carry = runs.groupBy("_key").applyInPandas(_carries(window), "_key string, _chunk long, _carry long")
+        rows = rows.drop("_carry").join(carry, ["_key", "_chunk"])
+        rows = rows.withColumn("_group", F.concat_ws("|", "_key", F.format_string("%020d", F.col("_chunk"))))
+    rows = rows.select(*columns, "_group", "_us", "_carry")
+    sorted_rows = rows.repartition("_group").sortWithinPartitions("_group", "_us", "alert_id")
+    return sorted_rows.mapInArrow(_walk(window), rows.schema).select(*columns)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataward.functions.size import empty_frame
 from strataward.sources import fs
 from strataward.sources.writer import latest_per_key
 
@@ -12,7 +13,7 @@ SCHEMA = "dataset string, last_update_date date, record_count long, created_at t
 
 
 def empty_watermarks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], SCHEMA)
+    return empty_frame(spark, SCHEMA)
 
 
 def merge_watermarks(stored: DataFrame, updates: DataFrame) -> DataFrame:

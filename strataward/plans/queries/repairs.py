@@ -205,9 +205,9 @@ x AS (SELECT *, CAST(unnest(generate_series(coalesce(pd + 1, d)::TIMESTAMP, d::T
 @query(
     "repair_dataset",
     _CHAIN + "SELECT ts_code, strftime(day, '%Y%m%d') AS trade_date, " + ", ".join(
-        f"round(CASE WHEN day = d THEN {c} ELSE p_{c} + ({c} - p_{c}) * (date_diff('day', pd, day)::DOUBLE / date_diff('day', pd, d)) END, 4) AS {c}"
+        f"round(CASE WHEN day = d THEN {c} ELSE p_{c} + ({c} - p_{c}) * (date_diff('day', pd, day)::DOUBLE / date_diff('day', pd, d)) END, 9) AS {c}"
         for c in NUMBERS) + ", day <> d AS is_filled FROM x",
 )
 def _(spark, d):
     out, _faults = R.repair_dataset(X.bars_faulty(spark, d), ["trade_date"], ["ts_code"], "trade_date", config=CONFIG)
-    return out.withColumns({c: F.round(c, 4) for c in NUMBERS})
+    return out.withColumns({c: F.round(c, 9) for c in NUMBERS})

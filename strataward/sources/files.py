@@ -139,9 +139,8 @@ def layout_health(spark: SparkSession, path: str, small_mb: float = 10.0) -> Dat
 def validate_layout(spark: SparkSession, root: str, catalog: dict[str, DatasetSpec] = CATALOG) -> DataFrame:
     """Expected against stored layout for every catalog dataset."""
     root = root.rstrip("/")
-    specs = spark.createDataFrame(
-        [(s.name, s.path, s.granularity) for s in catalog.values()], "dataset string, rel string, expected string"
-    )
+    rows = [F.struct(F.lit(s.name).alias("dataset"), F.lit(s.path).alias("rel"), F.lit(s.granularity).alias("expected")) for s in catalog.values()]
+    specs = spark.range(1).select(F.inline(F.array(*rows)))
     relative = F.regexp_replace("path", r"^.*?" + _quoted(root) + "/", "")
     found = (
         partition_files(spark, root)

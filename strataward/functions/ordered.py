@@ -10,21 +10,23 @@ task, each group is cut into equal blocks along its order instead:
 3. the last ``halo`` rows of a block are repeated at the head of the next block,
    so look-back frames see the rows they need.
 
-Operators write one window expression for both forms.
+A group under the limit stays whole in block 0 and keeps its window statistics.
+Statistics of split groups are aggregated, and joined back from one row per hot
+key. Operators write one window expression for both forms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataward.functions.size import AUTO, SkewPolicy, needs_blocks
+from strataward.functions.size import AUTO, Hot, SkewPolicy, find_hot
 
-KEY, BUCKET, INDEX, BLOCK, HALO = "_sw_key", "_sw_bucket", "_sw_index", "_sw_block", "_sw_halo"
+KEY, BUCKET, INDEX, BLOCK, HALO, IS_HOT = "_sw_key", "_sw_bucket", "_sw_index", "_sw_block", "_sw_halo", "_sw_hot"
 
 
 def key_column(keys: Sequence[str]) -> Column:
@@ -53,16 +55,23 @@ def _position(df: DataFrame, name: str) -> Column:
     raise TypeError(f"cannot order blocks by {name} of type {dtype.simpleString()}")
 
 
+Build = Callable[[Callable[[Column], Column]], dict[str, Column]]
+
+
 class Ordered:
     """Frame and window over ordered key groups."""
 
-    def __init__(self, df: DataFrame, keys: list[str], window, blocked: bool, fill: Sequence[str], temps: list[str]):
+    def __init__(
+        self, df: DataFrame, keys: list[str], window, hot: Hot | None, fill: Sequence[str], temps: list[str],
+        hot_keys: DataFrame | None = None,
+    ):
         self.df = df
         self.keys = keys
-        # plain columns where possible, so that a partitioning by key is reused before and after
-        self.group = [KEY] if blocked else whole_group(keys)
         self.window = window
-        self.blocked = blocked
+        self.hot = hot
+        # plain columns where possible, so that a partitioning by key is reused before and after
+        self.group = whole_group(keys) if hot is None else [KEY, BLOCK]
+        self.hot_keys = hot_keys
         self._fill = set(fill)
         self._temps = temps
 
@@ -72,24 +81,35 @@ class Ordered:
             raise ValueError(f"{name} was not requested in fill")
         return F.col(f"_sw_fill_{name}")
 
-    def with_key_stats(
-        self, df: DataFrame, aggs: dict[str, Column], source: DataFrame | None = None
-    ) -> DataFrame:
+    def with_cold_stats(self, df: DataFrame, build: Build) -> DataFrame:
+        """Add aggregates of whole groups, null for rows of split groups."""
+        on = (lambda c: c) if self.hot is None else (lambda c: F.when(~F.col(IS_HOT), c))
+        whole = Window.partitionBy(*self.group)
+        return df.select("*", *[agg.over(whole).alias(name) for name, agg in build(on).items()])
+
+    def with_key_stats(self, df: DataFrame, build: Build) -> DataFrame:
         """Add whole-group aggregates to each row.
 
-        Unsplit groups share the window's shuffle. Split groups aggregate with
-        map-side combine and join back (AQE picks the join once sizes are known).
-        ``source`` may name a narrower frame that holds the aggregated columns.
+        ``build`` gets a function that wraps each aggregated column and returns
+        the aggregates by name. Whole groups use the window's own shuffle.
         """
-        if not self.blocked:
-            whole = Window.partitionBy(*self.group)
-            return df.select("*", *[agg.over(whole).alias(name) for name, agg in aggs.items()])
-        if source is None:
-            base = df.where(~F.col(HALO)) if HALO in df.columns else df
-        else:
-            base = source.withColumn(KEY, key_column(self.keys))
-        stats = base.groupBy(KEY).agg(*[agg.alias(name) for name, agg in aggs.items()])
-        return df.join(stats, KEY, "left")
+        out = self.with_cold_stats(df, build)
+        if self.hot is None:
+            return out
+        rows = df.where(F.col(IS_HOT) & ~F.col(HALO))
+        return self.with_hot_table(out, rows.groupBy(KEY).agg(*[agg.alias(n) for n, agg in build(lambda c: c).items()]))
+
+    def with_hot_table(self, df: DataFrame, table: DataFrame) -> DataFrame:
+        """Put values of a table with one row per hot key in place of the null ones."""
+        names = [c for c in table.columns if c != KEY]
+        values = table.select(KEY, *[F.col(n).alias(f"_h{n}") for n in names])
+        out = df.join(self.hot.small(values), KEY, "left")
+        return out.withColumns({n: F.coalesce(n, f"_h{n}") for n in names}).drop(*[f"_h{n}" for n in names])
+
+    def hot_rows(self, source: DataFrame) -> DataFrame:
+        """Rows of the split groups, with their key."""
+        keyed = source.withColumn(KEY, key_column(self.keys))
+        return keyed.join(self.hot.small(self.hot_keys), KEY, "left_semi")
 
     def finish(self, df: DataFrame) -> DataFrame:
         """Drop repeated rows and helper columns."""
@@ -110,21 +130,36 @@ def ordered(
     keys, order_by = list(keys), list(order_by)
     if not order_by:
         raise ValueError("order_by is required")
-    if needs_blocks(df, keys, policy):
-        return _blocks(df, keys, order_by, fill, halo, policy)
+    hot = find_hot(df, keys, policy)
+    if hot:
+        return _blocks(df, keys, order_by, fill, halo, policy, hot)
     window = Window.partitionBy(*whole_group(keys)).orderBy(*order_by)
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     filled = [F.last(c, ignorenulls=True).over(so_far).alias(f"_sw_fill_{c}") for c in fill]
     temps = [f"_sw_fill_{c}" for c in fill]
-    return Ordered(df.select("*", *filled) if filled else df, keys, window, False, fill, temps)
+    return Ordered(df.select("*", *filled) if filled else df, keys, window, None, fill, temps)
 
 
 def unordered(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = AUTO) -> Ordered:
-    """Groups for whole-key statistics only."""
+    """Groups for whole-key statistics only; rows of hot keys are spread by hash."""
     keys = list(keys)
-    if needs_blocks(df, keys, policy):
-        return Ordered(df.withColumn(KEY, key_column(keys)), keys, None, True, (), [KEY])
-    return Ordered(df, keys, None, False, (), [])
+    hot = find_hot(df, keys, policy)
+    if hot is None:
+        return Ordered(df, keys, None, None, (), [])
+    base = df.withColumn(KEY, key_column(keys))
+    large = _hot_keys(base, hot)
+    spread = F.when(F.col(IS_HOT), F.pmod(F.xxhash64(*df.columns), F.lit(4096))).otherwise(F.lit(0))
+    out = (
+        base.join(hot.small(large.withColumn(IS_HOT, F.lit(True))), KEY, "left")
+        .withColumn(IS_HOT, F.coalesce(IS_HOT, F.lit(False)))
+        .withColumns({BLOCK: spread, HALO: F.lit(False)})
+    )
+    return Ordered(out, keys, None, hot, (), [KEY, IS_HOT, BLOCK, HALO], large)
+
+
+def _hot_keys(base: DataFrame, hot: Hot) -> DataFrame:
+    counts = base.groupBy(KEY).agg(F.count(F.lit(1)).alias("_sw_n"))
+    return counts.where(F.col("_sw_n") > hot.limit).select(KEY)
 
 
 def with_index(
@@ -136,23 +171,23 @@ def with_index(
 ) -> DataFrame:
     """Exact 0-based position of each row within its key."""
     keys, order_by = list(keys), list(order_by)
-    if needs_blocks(df, keys, policy):
-        o = _blocks(df, keys, order_by, (), 0, policy)
+    hot = find_hot(df, keys, policy)
+    if hot:
+        o = _blocks(df, keys, order_by, (), 0, policy, hot)
         return o.finish(o.df.withColumn(name, F.col(INDEX)))
     window = Window.partitionBy(*whole_group(keys)).orderBy(*order_by)
     return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
 
-def _blocks(df, keys, order_by, fill, halo, policy) -> Ordered:
-    block_rows = max(policy.block_rows, halo + 1)
-    limit = 0 if policy.mode == "blocks" else policy.max_group_rows
+def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:
+    # a group under the limit must fit block 0
+    block_rows = max(policy.block_rows, hot.limit, halo + 1)
     base = df.withColumn(KEY, key_column(keys)).withColumn("_sw_pos", _position(df, order_by[0]))
 
-    # keys over the limit: at most rows / limit of them, so small by construction
-    hot = (
+    wide = (
         base.groupBy(KEY)
         .agg(F.count(F.lit(1)).alias("_sw_n"), F.min("_sw_pos").alias("_sw_lo"), F.max("_sw_pos").alias("_sw_hi"))
-        .where(F.col("_sw_n") > limit)
+        .where(F.col("_sw_n") > hot.limit)
         .select(KEY, "_sw_lo", "_sw_hi", F.ceil(F.col("_sw_n") * 4 / block_rows).alias("_sw_nb"))
     )
     span = F.col("_sw_hi") - F.col("_sw_lo")
@@ -162,12 +197,13 @@ def _blocks(df, keys, order_by, fill, halo, policy) -> Ordered:
         .when(span == 0, F.lit(0))
         .otherwise(F.floor((F.col("_sw_pos") - F.col("_sw_lo")) / span * F.col("_sw_nb")))
     )
-    rows = base.join(hot, KEY, "left").withColumn(BUCKET, bucket.cast("long"))
-    is_hot = F.col("_sw_nb").isNotNull()
+    rows = base.join(hot.small(wide), KEY, "left").withColumns(
+        {BUCKET: bucket.cast("long"), IS_HOT: F.col("_sw_nb").isNotNull()}
+    )
 
     order = F.struct(*order_by)
     summary = (
-        rows.where(is_hot)
+        rows.where(F.col(IS_HOT))
         .groupBy(KEY, BUCKET)
         .agg(
             F.count(F.lit(1)).alias("_sw_rows"),
@@ -188,18 +224,20 @@ def _blocks(df, keys, order_by, fill, halo, policy) -> Ordered:
         *df.columns,
         KEY,
         BUCKET,
+        IS_HOT,
         (F.row_number().over(inside) - 1).alias("_sw_rn"),
         *[F.last(c, ignorenulls=True).over(so_far).alias(f"_sw_in_{c}") for c in fill],
     ).join(carry, [KEY, BUCKET], "left")
     out = numbered.select(
         *df.columns,
         KEY,
+        IS_HOT,
         (F.col("_sw_rn") + F.coalesce("_sw_offset", F.lit(0))).cast("long").alias(INDEX),
         *[F.coalesce(f"_sw_in_{c}", f"_sw_carry_{c}").alias(f"_sw_fill_{c}") for c in fill],
     )
-    temps = [KEY, INDEX] + [f"_sw_fill_{c}" for c in fill]
+    temps = [KEY, INDEX, IS_HOT] + [f"_sw_fill_{c}" for c in fill]
     if not halo:
-        return Ordered(out, keys, None, True, fill, temps)
+        return Ordered(out, keys, None, hot, fill, temps, wide.select(KEY))
 
     own = F.floor(F.col(INDEX) / block_rows).cast("long")
     targets = F.when(
@@ -207,7 +245,7 @@ def _blocks(df, keys, order_by, fill, halo, policy) -> Ordered:
     ).otherwise(F.array(own))
     out = out.withColumn(BLOCK, F.explode(targets)).withColumn(HALO, F.col(BLOCK) != own)
     window = Window.partitionBy(KEY, BLOCK).orderBy(INDEX)
-    return Ordered(out, keys, window, True, fill, temps + [BLOCK, HALO])
+    return Ordered(out, keys, window, hot, fill, temps + [BLOCK, HALO], wide.select(KEY))
 
 
 def all_of(conditions: Sequence[Column]) -> Column:

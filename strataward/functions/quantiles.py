@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataward.functions.ordered import KEY, key_column
-from strataward.functions.size import AUTO, SkewPolicy, needs_blocks
+from strataward.functions.size import AUTO, Hot, SkewPolicy, find_hot
 
 _STEP = math.log(1.001)  # each bucket spans 0.1 % of the value
 _SHIFT = 800_000  # above log(smallest double) / _STEP, keeps bucket numbers positive
@@ -43,20 +43,40 @@ def key_quantiles(
         raise ValueError(f"unknown quantile method {method}")
     keys = list(keys)
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    if not needs_blocks(data, keys, policy):
-        if method == "cont":
-            wanted = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
-            table = data.groupBy(*keys).agg(wanted.alias("_q"))
-            return table.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-        aggs = [
-            F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY _v)").alias(n)
-            for p, n in zip(probs, names)
-        ]
-        return data.groupBy(*keys).agg(*aggs)
-    return _ranked(data, keys, probs, names, method)
+    hot = find_hot(data, keys, policy)
+    if hot is None:
+        return _grouped(data, keys, probs, names, method)
+    if not hot.limit:
+        return _ranked(data, keys, probs, names, method, hot)
+    # hot keys are few: their rows take the ranked plan, all others the aggregate
+    counts = data.groupBy(key_column(keys).alias(KEY)).agg(F.count(F.lit(1)).alias("_n"))
+    large = hot.small(counts.where(F.col("_n") > hot.limit).select(KEY))
+    keyed = data.withColumn(KEY, key_column(keys))
+    cold = _grouped(keyed.join(large, KEY, "left_anti").select(*keys, "_v"), keys, probs, names, method)
+    split = keyed.join(large, KEY, "left_semi").select(*keys, "_v")
+    return cold.unionByName(_ranked(split, keys, probs, names, method, hot))
+
+
+def ranked_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str], hot: Hot
+) -> DataFrame:
+    """Interpolated quantiles of large groups only."""
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    return _ranked(data, list(keys), probs, names, "cont", hot)
+
+
+def _grouped(data, keys, probs, names, method) -> DataFrame:
+    if method == "cont":
+        wanted = F.percentile("_v", F.array(*[F.lit(float(p)) for p in probs]))
+        table = data.groupBy(*keys).agg(wanted.alias("_q"))
+        return table.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    aggs = [
+        F.expr(f"percentile_disc({float(p)}) WITHIN GROUP (ORDER BY _v)").alias(n) for p, n in zip(probs, names)
+    ]
+    return data.groupBy(*keys).agg(*aggs)
 
 
-def _ranked(data, keys, probs, names, method) -> DataFrame:
+def _ranked(data, keys, probs, names, method, hot: Hot) -> DataFrame:
     rows = data.select(key_column(keys).alias(KEY), "_v", value_bucket(F.col("_v")).alias("_b"))
     hist = rows.groupBy(KEY, "_b").agg(F.count(F.lit(1)).alias("_n"))
     by_bucket = Window.partitionBy(KEY).orderBy("_b")
@@ -88,7 +108,7 @@ def _ranked(data, keys, probs, names, method) -> DataFrame:
     )
 
     # few buckets per key survive; equal values are merged before they are ranked
-    near = rows.join(targets.select(KEY, "_b").distinct(), [KEY, "_b"], "left_semi")
+    near = rows.join(hot.small(targets.select(KEY, "_b").distinct()), [KEY, "_b"], "left_semi")
     counts = near.groupBy(KEY, "_b", "_v").agg(F.count(F.lit(1)).alias("_m"))
     upto = F.sum("_m").over(
         Window.partitionBy(KEY, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

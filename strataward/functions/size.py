@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT = 64 << 20
+BROADCAST_KEYS = 500_000
 
 
 @dataclass(frozen=True)
@@ -16,13 +17,25 @@ class SkewPolicy:
     """When an ordered group is too large for one task.
 
     mode "auto" measures, "bounded" asserts that the caller knows every group is
-    small, "blocks" always takes the split plan.
+    small, "blocks" splits every group.
     """
 
     mode: str = "auto"
     small_bytes: int = 256 << 20
     max_group_rows: int = 4_000_000
-    block_rows: int = 1_000_000
+    block_rows: int = 4_000_000
+
+
+@dataclass(frozen=True)
+class Hot:
+    """Groups over the limit. ``count`` was measured, so tables per hot key have a known size."""
+
+    limit: int
+    count: int | None
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """Broadcast a table with a few rows per hot key, where their number is known to be small."""
+        return F.broadcast(df) if self.count is not None and self.count <= BROADCAST_KEYS else df
 
 
 AUTO = SkewPolicy()
@@ -52,19 +65,22 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if size is not None and size <= limit else df
 
 
-def needs_blocks(df: DataFrame, keys: list[str], policy: SkewPolicy) -> bool:
-    """True when some key group has more rows than one task should order.
+def find_hot(df: DataFrame, keys: list[str], policy: SkewPolicy) -> Hot | None:
+    """Whether some key groups have more rows than one task should order.
 
     Small inputs are settled from their stored size alone. Larger ones cost one
     pre-aggregated count over the key columns. Only the choice of plan depends on
     this; the result does not.
     """
-    if policy.mode != "auto":
-        return policy.mode == "blocks"
+    if policy.mode == "bounded":
+        return None
+    if policy.mode == "blocks":
+        return Hot(0, None)
     if input_bytes(df) <= policy.small_bytes:
-        return False
+        return None
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return len(counts.where(F.col("_n") > policy.max_group_rows).take(1)) > 0
+    n = counts.where(F.col("_n") > policy.max_group_rows).count()
+    return Hot(policy.max_group_rows, n) if n else None
 
 
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:

@@ -8,8 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataward.functions.ordered import KEY, Ordered, key_column, ordered, unordered
-from strataward.functions.quantiles import key_quantiles
+from strataward.functions.ordered import KEY, Ordered, ordered, unordered
+from strataward.functions.quantiles import ranked_quantiles
 from strataward.functions.size import AUTO, SkewPolicy
 
 FLAGS = ("iqr_anomaly", "zscore_anomaly", "volatility_anomaly", "price_gap_anomaly")
@@ -48,10 +48,10 @@ def _annotate(df, value, order_by, keys, volume, config, policy, parts) -> DataF
     keys, order_by = list(keys), [order_by] if isinstance(order_by, str) else list(order_by)
     columns = df.columns
     x = F.col(value)
-    if not set(parts) & {"volatility_anomaly", "price_gap_anomaly", "volume_confirmed"}:
-        return _static_flags(df, value, keys, config, policy, parts)
-
-    o = _series(df, value, order_by, keys, volume, config, policy, parts)
+    if set(parts) & {"volatility_anomaly", "price_gap_anomaly", "volume_confirmed"}:
+        o = _series(df, value, order_by, keys, volume, config, policy, parts)
+    else:
+        o = unordered(df, keys, policy)
     d, w = o.df, o.window
     if "price_gap_anomaly" in parts:
         d = d.withColumn("_delta", F.abs(x - F.lag(x).over(w)))
@@ -68,14 +68,20 @@ def _annotate(df, value, order_by, keys, volume, config, policy, parts) -> DataF
         recent = w.rowsBetween(-(n - 1), 0)
         d = d.withColumn("_vmean", F.when(F.count(v).over(recent) == n, F.avg(v).over(recent)))
 
-    aggs = {}
-    if "price_gap_anomaly" in parts:
-        aggs |= {"_delta_mean": F.avg("_delta"), "_delta_std": F.stddev_samp("_delta")}
-    if "volatility_anomaly" in parts:
-        aggs |= {"_ret_std": F.stddev_samp("_ret")}
-    if aggs:
-        d = o.with_key_stats(d, aggs)
-    d = _add_static_stats(d, o, df, value, keys, config, policy, parts)
+    def derived(on):
+        aggs = {}
+        if "price_gap_anomaly" in parts:
+            aggs |= {"_delta_mean": F.avg(on(F.col("_delta"))), "_delta_std": F.stddev_samp(on(F.col("_delta")))}
+        if "volatility_anomaly" in parts:
+            aggs |= {"_ret_std": F.stddev_samp(on(F.col("_ret")))}
+        if "zscore_anomaly" in parts:
+            aggs |= {"_mean": F.avg(on(x)), "_std": F.stddev_samp(on(x))}
+        return aggs
+
+    if set(parts) - {"iqr_anomaly", "volume_confirmed"}:
+        d = o.with_key_stats(d, derived)
+    if "iqr_anomaly" in parts:
+        d = _with_quartiles(d, o, df, value)
 
     out = _static_columns(value, config, parts)
     if "volatility_anomaly" in parts:
@@ -101,28 +107,16 @@ def _static_columns(value, config, parts) -> dict:
     return out
 
 
-def _add_static_stats(d, o, source, value, keys, config, policy, parts) -> DataFrame:
-    """Quartiles, mean and deviation of the raw value per key."""
-    if "zscore_anomaly" in parts:
-        aggs = {"_mean": F.avg(value), "_std": F.stddev_samp(value)}
-        d = o.with_key_stats(d, aggs, source=source)
-    if "iqr_anomaly" in parts:
-        if o.blocked:
-            keyed = source.select(key_column(keys).alias(KEY), value)
-            d = d.join(key_quantiles(keyed, [KEY], value, [0.25, 0.75], ["_q1", "_q3"], policy=policy), KEY, "left")
-        else:
-            q = F.percentile(F.col(value).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
-            d = o.with_key_stats(d, {"_q": q})
-            d = d.withColumns({"_q1": F.col("_q")[0], "_q3": F.col("_q")[1]})
-    return d
-
-
-def _static_flags(df, value, keys, config, policy, parts) -> DataFrame:
-    """Flags that need no order: statistics per key, added to each row."""
-    o = unordered(df, keys, policy)
-    d = _add_static_stats(o.df, o, df, value, keys, config, policy, parts)
-    d = d.withColumns(_static_columns(value, config, parts))
-    return d.select(*df.columns, *[p for p in ALL if p in parts])
+def _with_quartiles(d, o: Ordered, source, value) -> DataFrame:
+    """Quartiles per key: an aggregate of whole groups, ranked counts for split ones."""
+    both = F.array(F.lit(0.25), F.lit(0.75))
+    d = o.with_cold_stats(d, lambda on: {"_q": F.percentile(on(F.col(value).cast("double")), both)})
+    d = d.withColumns({"_q1": F.col("_q")[0], "_q3": F.col("_q")[1]})
+    if o.hot is None:
+        return d
+    rows = o.hot_rows(source).select(F.col(KEY).alias("_hk"), value)
+    table = ranked_quantiles(rows, ["_hk"], value, [0.25, 0.75], ["_q1", "_q3"], o.hot)
+    return o.with_hot_table(d, table.withColumnRenamed("_hk", KEY))
 
 
 def iqr_anomaly(df, value, keys=(), config=DEFAULTS, policy: SkewPolicy = AUTO) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from strataward.functions.dates import as_date
 from strataward.functions.ordered import ordered
 from strataward.functions.quantiles import key_quantiles
-from strataward.functions.size import AUTO, SkewPolicy, broadcast_if_small, needs_blocks
+from strataward.functions.size import AUTO, SkewPolicy, broadcast_if_small, find_hot
 from strataward.operators.consistency import broken_high, broken_low
 
 FAULT_SCHEMA = "issue string, field string, count long, percentage double, severity string, lower double, upper double"
@@ -72,7 +72,7 @@ def outlier_bounds(df: DataFrame, columns: Sequence[str] | None = None, multipli
     cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in columns])
     long = df.select(F.inline(cells))
     # each column is one group as long as the frame, so the frame decides the plan
-    policy = replace(policy, mode="blocks" if needs_blocks(df, [], policy) else "bounded")
+    policy = replace(policy, mode="blocks" if find_hot(df, [], policy) else "bounded")
     q = key_quantiles(long, ["field"], "v", [0.25, 0.75], ["q1", "q3"], policy=policy)
     reach = multiplier * (F.col("q3") - F.col("q1"))
     return q.where(F.col("q3") > F.col("q1")).select(

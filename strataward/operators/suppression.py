@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataward.functions.size import AUTO, SkewPolicy, needs_blocks
+from strataward.functions.size import AUTO, SkewPolicy, find_hot
 
 KEYS = ("alert_type", "dataset", "severity")
 WINDOW_MINUTES = 30  # fixed value
@@ -119,7 +119,7 @@ def suppress_alerts(
     rows = alerts.withColumns(
         {"_key": F.to_json(F.struct(*keys)), "_us": F.unix_micros(F.col("ts").cast("timestamp")), "_carry": F.lit(NEVER)}
     )
-    split = needs_blocks(alerts, list(keys), policy)
+    split = find_hot(alerts, list(keys), policy) is not None
     if not split:
         rows = rows.withColumn("_group", F.col("_key"))
     else:

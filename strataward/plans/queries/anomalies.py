@@ -14,6 +14,8 @@ REGISTRY = Registry()
 query = REGISTRY.query
 
 SPLIT = SkewPolicy(mode="blocks", block_rows=64)
+# users with more than 60 events are split, the others stay whole
+MIXED = SkewPolicy(small_bytes=0, max_group_rows=60, block_rows=60)
 CONFIG = A.AnomalyConfig(volatility_threshold=0.5)
 
 
@@ -68,6 +70,11 @@ def _(spark, d):
     return A.zscore_anomaly(X.ticks(spark, d), "value", ["code"])
 
 
+@query("iqr_anomaly_mixed", _BY_USER + "SELECT code, ts, seq, value, volume, iqr_anomaly FROM g")
+def _(spark, d):
+    return A.iqr_anomaly(X.ticks(spark, d), "value", ["code"], policy=MIXED)
+
+
 @query("volatility_anomaly", _BY_USER + "SELECT code, ts, seq, value, volume, volatility_anomaly FROM g")
 def _(spark, d):
     return A.volatility_anomaly(X.ticks(spark, d), "value", ["ts", "seq"], ["code"], CONFIG)
@@ -93,6 +100,11 @@ def _(spark, d):
     return A.detect_anomalies(_holes(spark, d), "value", ["ts", "seq"], ["code"], "volume", CONFIG, SPLIT)
 
 
+@query("detect_anomalies_mixed", _HOLES + _FULL)
+def _(spark, d):
+    return A.detect_anomalies(_holes(spark, d), "value", ["ts", "seq"], ["code"], "volume", CONFIG, MIXED)
+
+
 @query("detect_anomalies_whole_frame", _WHOLE + _FULL)
 def _(spark, d):
     return A.detect_anomalies(X.ticks(spark, d), "value", ["ts", "seq"], (), "volume", CONFIG, SPLIT)
@@ -135,6 +147,16 @@ def _(spark, d):
     return _quartiles(spark, d, SPLIT)
 
 
+@query(
+    "key_quantiles_mixed",
+    """SELECT user_id, round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.75), 6) AS q3
+    FROM events GROUP BY user_id""",
+)
+def _(spark, d):
+    q = key_quantiles(X.table(spark, d, "events"), ["user_id"], "value", [0.25, 0.75], ["q1", "q3"], policy=MIXED)
+    return q.select("user_id", F.round("q1", 6).alias("q1"), F.round("q3", 6).alias("q3"))
+
+
 @query(
     "key_quantiles_disc",
     "SELECT event_type, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM events GROUP BY event_type",

@@ -17,6 +17,8 @@ SQL_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
+    # call sites of column expressions cost milliseconds each on the driver
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

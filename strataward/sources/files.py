@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strataward.sources import fs
 from strataward.sources.catalog import CATALOG, NONE, DatasetSpec
 
 PARTITION_RX = r"/([^/=]+)=([^/]+)/[^/]*$"
@@ -53,8 +54,9 @@ def partition_sizes(files: DataFrame) -> DataFrame:
 def storage_efficiency(sizes: DataFrame, small_mb: float = 10.0, spread_mb: float = 50.0) -> DataFrame:
     """Size spread of partitions as one row with a 0-100 score; zeros when empty."""
     mb = F.col("size_bytes") / F.lit(1024.0 * 1024.0)
-    score = 100 - F.var_pop(mb) / (spread_mb * spread_mb) * 100
     n = F.count(F.lit(1))
+    spread = 100 - F.var_pop(mb) / (spread_mb * spread_mb) * 100
+    score = F.when(n > 0, F.greatest(F.lit(0.0), F.least(F.lit(100.0), spread)))
     zero = F.lit(0.0)
     return sizes.agg(
         n.alias("partitions"),
@@ -63,7 +65,7 @@ def storage_efficiency(sizes: DataFrame, small_mb: float = 10.0, spread_mb: floa
         F.coalesce(F.min(mb), zero).alias("min_mb"),
         F.coalesce(F.max(mb), zero).alias("max_mb"),
         F.coalesce(F.sum((mb < small_mb).cast("long")), F.lit(0)).alias("small_partitions"),
-        F.coalesce(F.greatest(zero, F.least(F.lit(100.0), score)), zero).alias("score"),
+        F.coalesce(score, zero).alias("score"),
     )
 
 
@@ -115,8 +117,12 @@ def layout_health(spark: SparkSession, path: str, small_mb: float = 10.0) -> Dat
     """Rows per partition, files that gave none, and a small-file notice.
 
     Damaged files are skipped by the scan and show up as files without rows.
+    Listings leave out files of no bytes, so those are counted per folder.
     """
     files = partition_files(spark, path)
+    listed = {r["partition"]: r["n"] for r in files.groupBy("partition").agg(F.count(F.lit(1)).alias("n")).collect()}
+    hollow = [(p, n) for p in fs.child_folders(spark, path) if (n := fs.file_count(spark, f"{path}/{p}") - listed.get(p, 0)) > 0]
+    blank = spark.createDataFrame(hollow, "partition string, empty_files long")
     seen = (
         spark.read.option("ignoreCorruptFiles", True)
         .parquet(path)
@@ -125,15 +131,24 @@ def layout_health(spark: SparkSession, path: str, small_mb: float = 10.0) -> Dat
     )
     key = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")
     joined = files.withColumn("_k", key(F.col("path"))).join(seen.withColumn("_k", key(F.col("file_path"))), "_k", "left")
-    bad = F.sum(F.col("rows").isNull().cast("long"))
-    return joined.groupBy("partition").agg(
-        F.count(F.lit(1)).alias("file_count"),
+    per = joined.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("_files"),
         F.sum("size_bytes").alias("size_bytes"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("record_count"),
-        bad.alias("unreadable_files"),
-        (bad == 0).alias("healthy"),
+        F.sum("rows").alias("record_count"),
+        F.sum(F.col("rows").isNull().cast("long")).alias("_bad"),
         (F.avg("size_bytes") < small_mb * 1024 * 1024).alias("small_files"),
     )
+    count = lambda c: F.coalesce(c, F.lit(0))
+    unreadable = count("_bad") + count("empty_files")
+    return per.join(blank, "partition", "full_outer").select(
+        "partition",
+        (count("_files") + count("empty_files")).alias("file_count"),
+        count("size_bytes").alias("size_bytes"),
+        count("record_count").alias("record_count"),
+        unreadable.alias("unreadable_files"),
+        (unreadable == 0).alias("healthy"),
+        F.coalesce("small_files", F.lit(True)).alias("small_files"),
+    )
 
 
 def validate_layout(spark: SparkSession, root: str, catalog: dict[str, DatasetSpec] = CATALOG) -> DataFrame:

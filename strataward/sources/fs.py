@@ -69,3 +69,9 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(Path(path)):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory() and "=" in s.getPath().getName())
+
+
+def file_count(spark: SparkSession, path: str) -> int:
+    """Files below a path, hidden ones aside."""
+    fs, Path = _fs(spark, path)
+    return fs.getContentSummary(Path(path)).getFileCount()

@@ -61,7 +61,9 @@ def compact_to_target(
     # spread each partition over its own number of tasks
     slot = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != by]), files[F.col(by).cast("string")])
     order = [by, *[c for c in sort if c in rows.columns and c != by]]
-    spread = rows.withColumn("_sw_slot", slot).repartition(sum(plan.values()), by, "_sw_slot")
+    n = sum(plan.values())
+    tasks = n if n > 64 else 4 * n  # with few files, room to keep two of them out of one task
+    spread = rows.withColumn("_sw_slot", slot).repartition(tasks, by, "_sw_slot")
     return rewrite_partitions(spark, spread.sortWithinPartitions(*order).drop("_sw_slot"), path, by, sort, lay_out=False)
 
 

@@ -167,7 +167,7 @@ def _plan_views(policy: str, start: str = START, end: str = END) -> str:
 
 
 def _plan(spark, d, policy="full", start=START, end=END):
-    gaps = C.find_gaps(_spoilt(spark, d), "bars", "ts_code", "trade_date")
+    gaps = C.find_gaps(_spoilt(spark, d), "bars", "ts_code", "trade_date") if policy == "missing" else None
     return P.plan_loads(_cov(spark, d), _universe(spark, d), "bars", start, end, policy, gaps)
 
 

@@ -17,16 +17,18 @@ SQL_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "zstd",
-    # call sites of column expressions cost milliseconds each on the driver
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
+# Only a new session can take this one: call sites of column expressions cost driver time.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+_own_scratch: list[str] = []
 
 
 def build_session(app: str = "strataward", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SQL_SETTINGS, **conf}.items():
+    for key, value in {**SQL_SETTINGS, **START_SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -41,10 +43,11 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder of the cluster; a temporary one only where none is named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not _own_scratch:
+        _own_scratch.append(tempfile.mkdtemp(prefix="spark-"))
+    return _own_scratch[0]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

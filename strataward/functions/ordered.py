@@ -24,14 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataward.functions.size import AUTO, Hot, SkewPolicy, find_hot
+from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_column
 
-KEY, BUCKET, INDEX, BLOCK, HALO, IS_HOT = "_sw_key", "_sw_bucket", "_sw_index", "_sw_block", "_sw_halo", "_sw_hot"
-
-
-def key_column(keys: Sequence[str]) -> Column:
-    """One null-safe grouping value for any number of keys (none = whole frame)."""
-    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+BUCKET, INDEX, BLOCK, HALO, IS_HOT = "_sw_bucket", "_sw_index", "_sw_block", "_sw_halo", "_sw_hot"
 
 
 def whole_group(keys: Sequence[str]) -> list:
@@ -62,8 +57,7 @@ class Ordered:
     """Frame and window over ordered key groups."""
 
     def __init__(
-        self, df: DataFrame, keys: list[str], window, hot: Hot | None, fill: Sequence[str], temps: list[str],
-        hot_keys: DataFrame | None = None,
+        self, df: DataFrame, keys: list[str], window, hot: Hot | None, fill: Sequence[str], temps: list[str]
     ):
         self.df = df
         self.keys = keys
@@ -71,7 +65,6 @@ class Ordered:
         self.hot = hot
         # plain columns where possible, so that a partitioning by key is reused before and after
         self.group = whole_group(keys) if hot is None else [KEY, BLOCK]
-        self.hot_keys = hot_keys
         self._fill = set(fill)
         self._temps = temps
 
@@ -109,7 +102,7 @@ class Ordered:
     def hot_rows(self, source: DataFrame) -> DataFrame:
         """Rows of the split groups, with their key."""
         keyed = source.withColumn(KEY, key_column(self.keys))
-        return keyed.join(self.hot.small(self.hot_keys), KEY, "left_semi")
+        return keyed.join(self.hot.small(self.hot.table.select(KEY)), KEY, "left_semi")
 
     def finish(self, df: DataFrame) -> DataFrame:
         """Drop repeated rows and helper columns."""
@@ -130,7 +123,7 @@ def ordered(
     keys, order_by = list(keys), list(order_by)
     if not order_by:
         raise ValueError("order_by is required")
-    hot = find_hot(df, keys, policy)
+    hot = find_hot(df, keys, policy, _span(df, order_by))
     if hot:
         return _blocks(df, keys, order_by, fill, halo, policy, hot)
     window = Window.partitionBy(*whole_group(keys)).orderBy(*order_by)
@@ -147,19 +140,18 @@ def unordered(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = AUTO) ->
     if hot is None:
         return Ordered(df, keys, None, None, (), [])
     base = df.withColumn(KEY, key_column(keys))
-    large = _hot_keys(base, hot)
     spread = F.when(F.col(IS_HOT), F.pmod(F.xxhash64(*df.columns), F.lit(4096))).otherwise(F.lit(0))
     out = (
-        base.join(hot.small(large.withColumn(IS_HOT, F.lit(True))), KEY, "left")
+        base.join(hot.small(hot.table.select(KEY, F.lit(True).alias(IS_HOT))), KEY, "left")
         .withColumn(IS_HOT, F.coalesce(IS_HOT, F.lit(False)))
         .withColumns({BLOCK: spread, HALO: F.lit(False)})
     )
-    return Ordered(out, keys, None, hot, (), [KEY, IS_HOT, BLOCK, HALO], large)
+    return Ordered(out, keys, None, hot, (), [KEY, IS_HOT, BLOCK, HALO])
 
 
-def _hot_keys(base: DataFrame, hot: Hot) -> DataFrame:
-    counts = base.groupBy(KEY).agg(F.count(F.lit(1)).alias("_sw_n"))
-    return counts.where(F.col("_sw_n") > hot.limit).select(KEY)
+def _span(df: DataFrame, order_by: list[str]) -> dict[str, Column]:
+    at = _position(df, order_by[0])
+    return {"_sw_lo": F.min(at), "_sw_hi": F.max(at)}
 
 
 def with_index(
@@ -171,7 +163,7 @@ def with_index(
 ) -> DataFrame:
     """Exact 0-based position of each row within its key."""
     keys, order_by = list(keys), list(order_by)
-    hot = find_hot(df, keys, policy)
+    hot = find_hot(df, keys, policy, _span(df, order_by))
     if hot:
         o = _blocks(df, keys, order_by, (), 0, policy, hot)
         return o.finish(o.df.withColumn(name, F.col(INDEX)))
@@ -184,12 +176,7 @@ def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:
     block_rows = max(policy.block_rows, hot.limit, halo + 1)
     base = df.withColumn(KEY, key_column(keys)).withColumn("_sw_pos", _position(df, order_by[0]))
 
-    wide = (
-        base.groupBy(KEY)
-        .agg(F.count(F.lit(1)).alias("_sw_n"), F.min("_sw_pos").alias("_sw_lo"), F.max("_sw_pos").alias("_sw_hi"))
-        .where(F.col("_sw_n") > hot.limit)
-        .select(KEY, "_sw_lo", "_sw_hi", F.ceil(F.col("_sw_n") * 4 / block_rows).alias("_sw_nb"))
-    )
+    wide = hot.table.select(KEY, "_sw_lo", "_sw_hi", F.ceil(F.col("_sw_n") * 4 / block_rows).alias("_sw_nb"))
     span = F.col("_sw_hi") - F.col("_sw_lo")
     bucket = (
         F.when(F.col("_sw_nb").isNull(), F.lit(0))
@@ -237,7 +224,7 @@ def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:
     )
     temps = [KEY, INDEX, IS_HOT] + [f"_sw_fill_{c}" for c in fill]
     if not halo:
-        return Ordered(out, keys, None, hot, fill, temps, wide.select(KEY))
+        return Ordered(out, keys, None, hot, fill, temps)
 
     own = F.floor(F.col(INDEX) / block_rows).cast("long")
     targets = F.when(
@@ -245,7 +232,7 @@ def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:
     ).otherwise(F.array(own))
     out = out.withColumn(BLOCK, F.explode(targets)).withColumn(HALO, F.col(BLOCK) != own)
     window = Window.partitionBy(KEY, BLOCK).orderBy(INDEX)
-    return Ordered(out, keys, window, hot, fill, temps + [BLOCK, HALO], wide.select(KEY))
+    return Ordered(out, keys, window, hot, fill, temps + [BLOCK, HALO])
 
 
 def all_of(conditions: Sequence[Column]) -> Column:

@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataward.functions.ordered import KEY, key_column
-from strataward.functions.size import AUTO, Hot, SkewPolicy, find_hot
+from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_column
 
 _STEP = math.log(1.001)  # each bucket spans 0.1 % of the value
 _SHIFT = 800_000  # above log(smallest double) / _STEP, keeps bucket numbers positive
@@ -49,8 +48,7 @@ def key_quantiles(
     if not hot.limit:
         return _ranked(data, keys, probs, names, method, hot)
     # hot keys are few: their rows take the ranked plan, all others the aggregate
-    counts = data.groupBy(key_column(keys).alias(KEY)).agg(F.count(F.lit(1)).alias("_n"))
-    large = hot.small(counts.where(F.col("_n") > hot.limit).select(KEY))
+    large = hot.small(hot.table.select(KEY))
     keyed = data.withColumn(KEY, key_column(keys))
     cold = _grouped(keyed.join(large, KEY, "left_anti").select(*keys, "_v"), keys, probs, names, method)
     split = keyed.join(large, KEY, "left_semi").select(*keys, "_v")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataward.session import scratch_path
+
 BROADCAST_LIMIT = 64 << 20
 BROADCAST_KEYS = 500_000
+KEY = "_sw_key"
 
 
 @dataclass(frozen=True)
@@ -28,16 +32,26 @@ class SkewPolicy:
 
 @dataclass(frozen=True)
 class Hot:
-    """Groups over the limit. ``count`` was measured, so tables per hot key have a known size."""
+    """Groups over the limit.
+
+    ``table`` has one row per hot key: the key, its rows and any figures asked for.
+    ``count`` is its measured length, so tables per hot key have a known size.
+    """
 
     limit: int
     count: int | None
+    table: DataFrame
 
     def small(self, df: DataFrame) -> DataFrame:
         """Broadcast a table with a few rows per hot key, where their number is known to be small."""
         return F.broadcast(df) if self.count is not None and self.count <= BROADCAST_KEYS else df
 
 
+def key_column(keys: Sequence[str]) -> Column:
+    """One null-safe grouping value for any number of keys (none = whole frame)."""
+    return F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+
+
 AUTO = SkewPolicy()
 BOUNDED = SkewPolicy(mode="bounded")
 
@@ -65,22 +79,27 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if size is not None and size <= limit else df
 
 
-def find_hot(df: DataFrame, keys: list[str], policy: SkewPolicy) -> Hot | None:
+def find_hot(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, figures: dict[str, Column] | None = None) -> Hot | None:
     """Whether some key groups have more rows than one task should order.
 
     Small inputs are settled from their stored size alone. Larger ones cost one
-    pre-aggregated count over the key columns. Only the choice of plan depends on
-    this; the result does not.
+    pre-aggregated count by key; the hot keys are written to the shared folder, so
+    that they are found once. Only the choice of plan depends on this; the result
+    does not.
     """
-    if policy.mode == "bounded":
-        return None
-    if policy.mode == "blocks":
-        return Hot(0, None)
-    if input_bytes(df) <= policy.small_bytes:
+    if policy.mode == "bounded" or (policy.mode == "auto" and input_bytes(df) <= policy.small_bytes):
         return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    n = counts.where(F.col("_n") > policy.max_group_rows).count()
-    return Hot(policy.max_group_rows, n) if n else None
+    limit = policy.max_group_rows if policy.mode == "auto" else 0
+    extra = [c.alias(n) for n, c in (figures or {}).items()]
+    counts = df.groupBy(key_column(keys).alias(KEY)).agg(F.count(F.lit(1)).alias("_sw_n"), *extra)
+    table = counts.where(F.col("_sw_n") > limit)
+    if policy.mode != "auto":
+        return Hot(limit, None, table)
+    path = scratch_path(df.sparkSession, "hot")
+    table.write.parquet(path)
+    stored = df.sparkSession.read.schema(table.schema).parquet(path)
+    n = stored.count()
+    return Hot(limit, n, stored) if n else None
 
 
 def empty_frame(spark: SparkSession, schema: str) -> DataFrame:

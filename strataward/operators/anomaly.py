@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataward.functions.ordered import KEY, Ordered, ordered, unordered
+from strataward.functions.ordered import Ordered, ordered, unordered
 from strataward.functions.quantiles import ranked_quantiles
-from strataward.functions.size import AUTO, SkewPolicy
+from strataward.functions.size import AUTO, KEY, SkewPolicy
 
 FLAGS = ("iqr_anomaly", "zscore_anomaly", "volatility_anomaly", "price_gap_anomaly")
 ALL = FLAGS + ("volume_confirmed",)

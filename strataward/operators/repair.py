@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from strataward.functions.dates import as_date
 from strataward.functions.ordered import ordered
-from strataward.functions.quantiles import key_quantiles
-from strataward.functions.size import AUTO, SkewPolicy, broadcast_if_small, find_hot
+from strataward.functions.quantiles import key_quantiles, ranked_quantiles
+from strataward.functions.size import AUTO, BOUNDED, Hot, SkewPolicy, broadcast_if_small, find_hot
 from strataward.operators.consistency import broken_high, broken_low
 
 FAULT_SCHEMA = "issue string, field string, count long, percentage double, severity string, lower double, upper double"
@@ -66,14 +66,22 @@ def detect_nulls(df: DataFrame) -> DataFrame:
     return counts.select(F.inline(F.array(*cells))).where(F.col("count") > 0)
 
 
+def columns_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column name."""
+    return df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("field"))
+
+
 def outlier_bounds(df: DataFrame, columns: Sequence[str] | None = None, multiplier: float = 1.5, policy: SkewPolicy = AUTO) -> DataFrame:
     """Lower and upper bound per numeric column, where the quartiles differ."""
     columns = list(columns or numeric_columns(df))
     cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in columns])
     long = df.select(F.inline(cells))
     # each column is one group as long as the frame, so the frame decides the plan
-    policy = replace(policy, mode="blocks" if find_hot(df, [], policy) else "bounded")
-    q = key_quantiles(long, ["field"], "v", [0.25, 0.75], ["q1", "q3"], policy=policy)
+    if find_hot(df, [], policy) is None:
+        q = key_quantiles(long, ["field"], "v", [0.25, 0.75], ["q1", "q3"], policy=BOUNDED)
+    else:
+        groups = Hot(0, len(columns), columns_table(df, columns))
+        q = ranked_quantiles(long, ["field"], "v", [0.25, 0.75], ["q1", "q3"], groups)
     reach = multiplier * (F.col("q3") - F.col("q1"))
     return q.where(F.col("q3") > F.col("q1")).select(
         "field", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper")
@@ -94,20 +102,17 @@ def _scalars(bounds: DataFrame, columns: Sequence[str]) -> dict[str, Column]:
 
 
 def detect_outliers(df: DataFrame, columns: Sequence[str] | None = None, multiplier: float = 1.5, policy: SkewPolicy = AUTO, bounds: DataFrame | None = None) -> DataFrame:
-    """Columns with values outside their quartile bounds."""
+    """Columns with values outside their quartile bounds; all counted in one pass."""
     columns = list(columns or numeric_columns(df))
     bounds = outlier_bounds(df, columns, multiplier, policy) if bounds is None else bounds
-    cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("v")) for c in columns])
-    rows = df.select(F.inline(cells)).join(broadcast_if_small(bounds), "field")
-    outside = (F.col("v") < F.col("lower")) | (F.col("v") > F.col("upper"))
-    per = rows.groupBy("field").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(outside).alias("count"),
-        F.first("lower").alias("lower"), F.first("upper").alias("upper"),
-    )
-    pct = _pct(F.col("count"), F.col("_n"))
-    return per.where(F.col("count") > 0).select(
-        F.lit("outliers").alias("issue"), "field", "count", pct.alias("percentage"), _severity(pct, 5, 1).alias("severity"), "lower", "upper"
-    )
+    limits = _scalars(bounds, columns)
+    outside = [(F.col(c) < limits[c]["lower"]) | (F.col(c) > limits[c]["upper"]) for c in columns]
+    counts = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(o).alias(f"n{i}") for i, o in enumerate(outside)])
+    cells = []
+    for i, c in enumerate(columns):
+        pct = _pct(F.col(f"n{i}"), F.col("_n"))
+        cells.append(_fault("outliers", c, F.col(f"n{i}"), pct, _severity(pct, 5, 1), limits[c]["lower"], limits[c]["upper"]))
+    return counts.select(F.inline(F.array(*cells))).where(F.col("count") > 0)
 
 
 def detect_duplicates(df: DataFrame) -> DataFrame:

@@ -10,6 +10,13 @@ from strataward.plans.registry import Registry
 REGISTRY = Registry()
 
 
+@REGISTRY.query("op2_minhash_dedup")
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.minhash import minhash_dedup
+
+    return minhash_dedup(table(prepare(spark), sf_dir, "documents"))
+
+
 @REGISTRY.query(
     "op3_chat_format",
     r"""

@@ -86,6 +86,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, [*HOST_RULES, *WORD_RULES]))
 
 
+@REGISTRY.query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.repeats import substring_dedup
+
+    return substring_dedup(table(prepare(spark), sf_dir, "documents")).drop("kept_text")
+
+
 def all_queries() -> dict:
     return REGISTRY.queries
 

@@ -41,6 +41,13 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(segments(with_control_turns(spark, table(spark, sf_dir, "conversations"))))
 
 
+@REGISTRY.query("op4_pack")
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.packing import pack_documents
+
+    return pack_documents(table(prepare(spark), sf_dir, "documents"))
+
+
 @REGISTRY.query("op5_shard")
 def op5_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataward.llm.shard import shard_documents

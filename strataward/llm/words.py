@@ -6,7 +6,7 @@ return. Texts go through in pieces of a few MB, so memory follows the piece, not
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -40,23 +40,39 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _hash_part(data: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of one piece, and where they start in it."""
+def _beginnings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the first n bytes of words, apart from those of whole words."""
+    out = np.full(len(starts), n, np.uint64)
+    for j, power in enumerate(powers(_P, n)):
+        at = np.minimum(starts + j, len(data) - 1)
+        out += np.where(starts + j < ends, _BYTE[data[at]] * power, np.uint64(0))
+    return mix(out)
+
+
+def _hash_part(data: np.ndarray, space: np.ndarray, prefixes: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of one piece (one row more for each prefix length), and where they start in it."""
     inside = np.concatenate(([0], (~space).view(np.int8), [0]))
     edge = np.flatnonzero(np.diff(inside))
     starts, ends = edge[0::2], edge[1::2]
     if not len(starts):
-        return np.empty(0, np.uint64), starts
+        return np.empty((1 + len(prefixes), 0), np.uint64), starts
     place = np.arange(len(data), dtype=np.int64)
     lengths = np.diff(np.concatenate((starts, [len(data)])))
     place = place[starts[0] :] - np.repeat(starts, lengths)
     terms = _BYTE[data[starts[0] :]] * powers(_P, int((ends - starts).max()) + 1).take(place, mode="clip")
     terms[space[starts[0] :]] = 0
-    return mix(np.add.reduceat(terms, starts - starts[0])), starts
+    whole = mix(np.add.reduceat(terms, starts - starts[0]))
+    return np.vstack([whole, *[_beginnings(data, starts, ends, n) for n in prefixes]]), starts
 
 
 def word_hashes(texts: list[bytes], space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of all texts, and ``offsets``: text i has words offsets[i] to offsets[i+1].
+    """64-bit hashes of all words of all texts, and ``offsets``: text i has words offsets[i] to offsets[i+1]."""
+    hashes, offsets = word_features(texts, space)
+    return hashes[0], offsets
+
+
+def word_features(texts: list[bytes], space: np.ndarray = SPACE, prefixes: Sequence[int] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``word_hashes``, with a further row of hashes for the beginnings of each given length.
 
     ``space`` says which bytes separate words; a line feed must be one of them.
     """
@@ -72,13 +88,13 @@ def word_hashes(texts: list[bytes], space: np.ndarray = SPACE) -> tuple[np.ndarr
                 end += SLICE_BYTES
                 after = np.flatnonzero(gaps[end : end + SLICE_BYTES])
             end = end + int(after[0]) if len(after) else len(data)
-        h, s = _hash_part(data[begin:end], gaps[begin:end])
+        h, s = _hash_part(data[begin:end], gaps[begin:end], prefixes)
         found.append(h)
         at.append(s + begin)
         begin = end
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     text_starts = np.concatenate(([0], np.cumsum(sizes)))
-    hashes = np.concatenate(found) if found else np.empty(0, np.uint64)
+    hashes = np.concatenate(found, axis=1) if found else np.empty((1 + len(prefixes), 0), np.uint64)
     starts = np.concatenate(at) if at else np.empty(0, np.int64)
     return hashes, np.searchsorted(starts, text_starts)
 

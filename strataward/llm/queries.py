@@ -70,6 +70,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(prepare(spark), sf_dir, "documents"))
 
 
+@REGISTRY.query("op7_language")
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.language import identify
+
+    return identify(table(prepare(spark), sf_dir, "documents"))
+
+
 @REGISTRY.query("op8_toxicity")
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataward.llm.toxicity import document_labels, score_documents

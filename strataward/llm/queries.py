@@ -10,6 +10,14 @@ from strataward.plans.registry import Registry
 REGISTRY = Registry()
 
 
+@REGISTRY.query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.contamination import decontaminate
+
+    prepare(spark)
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @REGISTRY.query("op2_minhash_dedup")
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataward.llm.minhash import minhash_dedup

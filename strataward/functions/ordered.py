@@ -22,10 +22,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_column
 
+BUCKETS_A_BLOCK, SAMPLE_A_BUCKET = 4, 64
 BUCKET, INDEX, BLOCK, HALO, IS_HOT = "_sw_bucket", "_sw_index", "_sw_block", "_sw_halo", "_sw_hot"
 
 
@@ -34,22 +34,6 @@ def whole_group(keys: Sequence[str]) -> list:
     return list(keys) or [F.lit(0)]
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """Monotone number for an ordering column, used to cut buckets only."""
-    dtype = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    if isinstance(dtype, T.StringType):
-        head = F.rpad(F.hex(F.encode(c, "UTF-8")), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    raise TypeError(f"cannot order blocks by {name} of type {dtype.simpleString()}")
-
-
 Build = Callable[[Callable[[Column], Column]], dict[str, Column]]
 
 
@@ -123,7 +107,7 @@ def ordered(
     keys, order_by = list(keys), list(order_by)
     if not order_by:
         raise ValueError("order_by is required")
-    hot = find_hot(df, keys, policy, _span(df, order_by))
+    hot = find_hot(df, keys, policy)
     if hot:
         return _blocks(df, keys, order_by, fill, halo, policy, hot)
     window = Window.partitionBy(*whole_group(keys)).orderBy(*order_by)
@@ -149,11 +133,6 @@ def unordered(df: DataFrame, keys: Sequence[str], policy: SkewPolicy = AUTO) ->
     return Ordered(out, keys, None, hot, (), [KEY, IS_HOT, BLOCK, HALO])
 
 
-def _span(df: DataFrame, order_by: list[str]) -> dict[str, Column]:
-    at = _position(df, order_by[0])
-    return {"_sw_lo": F.min(at), "_sw_hi": F.max(at)}
-
-
 def with_index(
     df: DataFrame,
     keys: Sequence[str],
@@ -163,7 +142,7 @@ def with_index(
 ) -> DataFrame:
     """Exact 0-based position of each row within its key."""
     keys, order_by = list(keys), list(order_by)
-    hot = find_hot(df, keys, policy, _span(df, order_by))
+    hot = find_hot(df, keys, policy)
     if hot:
         o = _blocks(df, keys, order_by, (), 0, policy, hot)
         return o.finish(o.df.withColumn(name, F.col(INDEX)))
@@ -171,24 +150,47 @@ def with_index(
     return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
 
+def _cuts(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -> DataFrame:
+    """Cut points of each hot key: order tuples at even ranks of a sample, four buckets a block.
+
+    The sample is chosen by a hash and has about 64 rows a bucket, whatever the size of the
+    key, so buckets are even for any spread of values. Cuts only steer the work.
+    """
+    buckets = F.ceil(F.col("_sw_n") * BUCKETS_A_BLOCK / block_rows)
+    share = F.least(F.lit(1.0), buckets * SAMPLE_A_BUCKET / F.col("_sw_n"))
+    sizes = hot.table.select(KEY, buckets.cast("int").alias("_sw_nb"), (share * (1 << 30)).cast("long").alias("_sw_share"))
+    chosen = F.pmod(F.xxhash64(KEY, *order_by), F.lit(1 << 30)) < F.col("_sw_share")
+    sampled = base.join(hot.small(sizes), KEY).groupBy(KEY).agg(
+        F.array_sort(F.collect_list(F.when(chosen, F.struct(*order_by)))).alias("_sw_s"), F.max("_sw_nb").alias("_sw_nb")
+    )
+    at = lambda i: F.get("_sw_s", F.floor(F.size("_sw_s") * i / F.col("_sw_nb")).cast("int"))
+    steps = F.filter(F.sequence(F.lit(0), F.col("_sw_nb") - 1), lambda i: i > 0)
+    cuts = F.array_distinct(F.filter(F.transform(steps, at), lambda c: c.isNotNull()))
+    return sampled.select(KEY, cuts.alias("_sw_cuts"))
+
+
+def _cuts_below(cuts: Column, value: Column) -> Column:
+    """How many of the sorted cuts are below a value, by halving steps."""
+    steps = F.array(*[F.lit(1 << b) for b in range(20, -1, -1)])
+
+    def step(found: Column, s: Column) -> Column:
+        here = F.get(cuts, found + s - 1)
+        return F.when(F.coalesce(here < value, F.lit(False)), found + s).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
 def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:
     # a group under the limit must fit block 0
     block_rows = max(policy.block_rows, hot.limit, halo + 1)
-    base = df.withColumn(KEY, key_column(keys)).withColumn("_sw_pos", _position(df, order_by[0]))
-
-    wide = hot.table.select(KEY, "_sw_lo", "_sw_hi", F.ceil(F.col("_sw_n") * 4 / block_rows).alias("_sw_nb"))
-    span = F.col("_sw_hi") - F.col("_sw_lo")
-    bucket = (
-        F.when(F.col("_sw_nb").isNull(), F.lit(0))
-        .when(F.col("_sw_pos").isNull(), F.lit(-1))
-        .when(span == 0, F.lit(0))
-        .otherwise(F.floor((F.col("_sw_pos") - F.col("_sw_lo")) / span * F.col("_sw_nb")))
-    )
+    base = df.withColumn(KEY, key_column(keys))
+    order = F.struct(*order_by)
+    wide = _cuts(base, order_by, hot, block_rows)
+    bucket = F.when(F.col("_sw_cuts").isNull(), F.lit(0)).otherwise(_cuts_below(F.col("_sw_cuts"), order))
     rows = base.join(hot.small(wide), KEY, "left").withColumns(
-        {BUCKET: bucket.cast("long"), IS_HOT: F.col("_sw_nb").isNotNull()}
+        {BUCKET: bucket.cast("long"), IS_HOT: F.col("_sw_cuts").isNotNull()}
     )
 
-    order = F.struct(*order_by)
     summary = (
         rows.where(F.col(IS_HOT))
         .groupBy(KEY, BUCKET)

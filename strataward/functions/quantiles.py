@@ -17,12 +17,15 @@ from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_
 
 _STEP = math.log(1.001)  # each bucket spans 0.1 % of the value
 _SHIFT = 800_000  # above log(smallest double) / _STEP, keeps bucket numbers positive
+_END = 3_000_000  # bucket of infinity, beyond all finite ones; NaN comes last of all
 
 
 def value_bucket(value: Column) -> Column:
     """Monotone bucket number of a double."""
     magnitude = F.floor(F.ln(F.abs(value)) / _STEP) + _SHIFT
-    return F.when(value == 0, F.lit(0)).otherwise((F.signum(value) * magnitude)).cast("long")
+    endless = F.abs(value) == float("inf")
+    finite = F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * magnitude).cast("long")
+    return F.when(F.isnan(value), F.lit(2 * _END)).when(endless, F.signum(value).cast("long") * _END).otherwise(finite)
 
 
 def key_quantiles(
@@ -123,6 +126,6 @@ def _ranked(data, keys, probs, names, method, hot: Hot) -> DataFrame:
             continue
         high = F.max(F.when((F.col("q") == i) & (F.col("hi") == 1), F.col("_v")))
         frac = F.max(F.when(F.col("q") == i, F.col("frac")))
-        cols.append((low * (1 - frac) + high * frac).alias(name))
+        cols.append(F.when((low == high) | (frac == 0), low).otherwise(low * (1 - frac) + high * frac).alias(name))
     out = hit.groupBy(KEY).agg(*cols)
     return out.select(*[F.col(KEY)[k].alias(k) for k in keys], *names)

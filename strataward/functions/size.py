@@ -25,7 +25,7 @@ class SkewPolicy:
     """
 
     mode: str = "auto"
-    small_bytes: int = 256 << 20
+    small_bytes: int = 32 << 20
     max_group_rows: int = 4_000_000
     block_rows: int = 4_000_000
 
@@ -73,6 +73,12 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def not_growing(df: DataFrame) -> bool:
+    """Whether no step of the plan can give more rows than it reads."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return not any(word in plan for word in ("Generate ", "Join ", "Expand ", "MapInArrow", "FlatMap"))
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """Broadcast hint behind a size check; otherwise the join strategy stays adaptive."""
     size = plan_bytes(df)
@@ -82,12 +88,13 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
 def find_hot(df: DataFrame, keys: Sequence[str], policy: SkewPolicy, figures: dict[str, Column] | None = None) -> Hot | None:
     """Whether some key groups have more rows than one task should order.
 
-    Small inputs are settled from their stored size alone. Larger ones cost one
+    Small inputs that no join or explode can enlarge are settled from their stored size
+    (packed columns rarely hold more than a few rows a byte). All others cost one
     pre-aggregated count by key; the hot keys are written to the shared folder, so
     that they are found once. Only the choice of plan depends on this; the result
     does not.
     """
-    if policy.mode == "bounded" or (policy.mode == "auto" and input_bytes(df) <= policy.small_bytes):
+    if policy.mode == "bounded" or (policy.mode == "auto" and not_growing(df) and input_bytes(df) <= policy.small_bytes):
         return None
     limit = policy.max_group_rows if policy.mode == "auto" else 0
     extra = [c.alias(n) for n, c in (figures or {}).items()]

@@ -87,7 +87,7 @@ def ohlc_rules(rules: CountRules, df: DataFrame) -> None:
 
 def date_bound_rules(rules: CountRules, df: DataFrame, as_of: str, oldest: str = OLDEST_DATE, fields: Sequence[str] | None = None, scope: str = "logical") -> None:
     """Future and very old dates; text that is no date counts as neither."""
-    for c in date_fields(df)[:1] if fields is None else fields:
+    for c in date_fields(df) if fields is None else fields:
         day = as_date(df, c)
         rules.add(scope, "future_date", c, day > F.lit(as_of).cast("date"), f"Date field {c} has {{n}} future dates")
         rules.add(scope, "old_date", c, day < F.lit(oldest).cast("date"), f"Date field {c} has {{n}} very old dates")

@@ -113,9 +113,9 @@ def date_coverage(df: DataFrame, dataset: str, date_col: str) -> DataFrame:
     ).select(F.lit(dataset).alias("dataset"), "*")
 
 
-def dataset_inventory(df: DataFrame, dataset: str, partition_col: str | None = None, max_dates: int = 3) -> DataFrame:
-    """Rows, partition values, and the range of up to three date columns."""
-    dated = [c for c in df.columns if "date" in c.lower()][:max_dates]
+def dataset_inventory(df: DataFrame, dataset: str, partition_col: str | None = None) -> DataFrame:
+    """Rows, partition values, and the range of every date column."""
+    dated = [c for c in df.columns if "date" in c.lower()]
     cells = [
         F.struct(
             F.lit(c).alias("field"), F.min(as_date(df, c)).alias("lo"), F.max(as_date(df, c)).alias("hi")

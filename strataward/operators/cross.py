@@ -142,8 +142,8 @@ def validate_cross_dataset(
     if len(datasets) > 1 and code_col in common:
         frames.append(check_code_consistency(datasets, code_col))
     dated = [c for c in common if "date" in c.lower()]
-    if len(datasets) > 1 and dated:
-        frames.append(check_date_alignment(datasets, dated[0]))
+    if len(datasets) > 1:
+        frames += [check_date_alignment(datasets, c) for c in dated]
     for name in financial_datasets(datasets):
         if {code_col, "end_date"} <= set(datasets[name].columns):
             frames.append(check_duplicate_entries(datasets[name], name, (code_col, "end_date")))

@@ -155,7 +155,7 @@ def content_hash(df: DataFrame) -> DataFrame:
     Rows are hashed alone, equal rows are counted, and digests are joined within
     short prefixes, so no step holds more than a slice of the table.
     """
-    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in sorted(df.columns)]
+    cells = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in sorted(df.columns)]
     leaf = df.select(F.sha2(F.concat_ws("|", *cells), 256).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     digests = leaf.select(F.substring("h", 1, 4).alias("p"), F.concat_ws(":", "h", F.col("n").cast("string")).alias("h"))
 

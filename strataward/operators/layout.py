@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strataward.sources import fs
 from strataward.sources.catalog import NONE, DatasetSpec
 from strataward.sources.files import partition_files, partition_sizes, storage_efficiency
-from strataward.sources.writer import MAX_TOUCHED, rewrite_partitions, write_dataset
+from strataward.sources.writer import MAX_TOUCHED, NULL_FOLDER, in_partitions, rewrite_partitions, write_dataset
 
 MB = 1024 * 1024
 
@@ -23,9 +23,11 @@ def _folders(sizes: DataFrame) -> list:
     return sorted(rows, key=lambda r: r["partition"])
 
 
-def _stored(spark: SparkSession, path: str, by: str, values: Sequence[str]) -> DataFrame:
-    """Rows of some partitions; the filter prunes folders."""
-    return spark.read.parquet(path).where(F.col(by).cast("string").isin(list(values)))
+def _stored(spark: SparkSession, path: str, by: str, values: Sequence[str | None]) -> DataFrame:
+    """Rows of some partitions, by their text values; the filter prunes folders."""
+    stored = spark.read.parquet(path)
+    typed = [None if v is None else F.lit(v).cast(stored.schema[by].dataType) for v in values]
+    return stored.where(in_partitions(by, typed))
 
 
 def compact_small(
@@ -53,13 +55,13 @@ def compact_to_target(
     for r in _folders(partition_sizes(partition_files(spark, path))):
         wanted = max(1, int(r["size_bytes"] // (target_mb * MB)))
         if wanted != r["file_count"]:
-            plan[r["value"]] = wanted
+            plan[NULL_FOLDER if r["value"] is None else r["value"]] = wanted
     if not plan:
         return []
     files = F.create_map(*[F.lit(x) for kv in plan.items() for x in kv])
-    rows = _stored(spark, path, by, list(plan))
+    rows = _stored(spark, path, by, [None if v == NULL_FOLDER else v for v in plan])
     # spread each partition over its own number of tasks
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != by]), files[F.col(by).cast("string")])
+    slot = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != by]), files[F.coalesce(F.col(by).cast("string"), F.lit(NULL_FOLDER))])
     order = [by, *[c for c in sort if c in rows.columns and c != by]]
     n = sum(plan.values())
     tasks = n if n > 64 else 4 * n  # with few files, room to keep two of them out of one task
@@ -68,11 +70,11 @@ def compact_to_target(
 
 
 def recompress(
-    spark: SparkSession, path: str, by: str, sort: Sequence[str] = (), large_mb: float = 50.0, first: int = 5
+    spark: SparkSession, path: str, by: str, sort: Sequence[str] = (), large_mb: float = 50.0
 ) -> list[str]:
-    """Rewrite the first few large partitions with zstd."""
+    """Rewrite every large partition with zstd."""
     sizes = partition_sizes(partition_files(spark, path)).where(F.col("size_bytes") > large_mb * MB)
-    values = [r["value"] for r in _folders(sizes)][:first]
+    values = [r["value"] for r in _folders(sizes)]
     return rewrite_partitions(spark, _stored(spark, path, by, values), path, by, sort) if values else []
 
 

@@ -142,7 +142,7 @@ def active_alerts(
 
 def clear_alerts(alerts: DataFrame, dataset: str | None = None) -> DataFrame:
     """What is left after clearing one dataset's alerts, or all."""
-    return alerts.limit(0) if dataset is None else alerts.where(F.col("dataset") != dataset)
+    return alerts.limit(0) if dataset is None else alerts.where(~F.col("dataset").eqNullSafe(dataset))
 
 
 def alert_summary(alerts: DataFrame) -> DataFrame:

@@ -194,7 +194,7 @@ def repair_gaps(
 
     Each row expands to the days since the row before it, so no day grid is joined.
     With a calendar only its open days are added. Days must be unique in a key;
-    other columns of an added row are null.
+    other columns of an added row are null. Rows without a readable date stay as they are.
     """
     narrow = df.withColumn("_d", as_date(df, date_col))
     o = ordered(narrow.where(F.col("_d").isNotNull()), keys, ["_d"], halo=1, policy=policy)
@@ -222,7 +222,8 @@ def repair_gaps(
             return F.when(own, F.col(c)).otherwise(line).alias(c)
         return F.when(own, F.col(c)).alias(c)
 
-    return days.select(*[cell(c) for c in df.columns], (~own).alias("is_filled"))
+    filled = days.select(*[cell(c) for c in df.columns], (~own).alias("is_filled"))
+    return filled.unionByName(narrow.where(F.col("_d").isNull()).select(*df.columns, F.lit(False).alias("is_filled")))
 
 
 # fixed values: confidence of each repair, some less a share of the faulty percentage

@@ -111,11 +111,17 @@ def suppress_alerts(
     policy: SkewPolicy = AUTO,
     chunk_hours: int = 24,
 ) -> DataFrame:
-    """Alerts that are emitted. ``alert_id`` must be unique; ``muted`` lists (type, dataset) pairs never emitted."""
+    """Alerts that are emitted. ``alert_id`` must be unique; ``muted`` lists (type, dataset) pairs never emitted.
+
+    Alerts without a time have no place in the order: all of them are emitted and none counts
+    for others.
+    """
     for kind, dataset in muted:
-        alerts = alerts.where(~((F.col("alert_type") == kind) & (F.col("dataset") == dataset)))
+        alerts = alerts.where(~(F.col("alert_type").eqNullSafe(kind) & F.col("dataset").eqNullSafe(dataset)))
     window = window_minutes * 60_000_000
     columns = alerts.columns
+    undated = alerts.where(F.col("ts").isNull())
+    alerts = alerts.where(F.col("ts").isNotNull())
     rows = alerts.withColumns(
         {"_key": F.to_json(F.struct(*keys)), "_us": F.unix_micros(F.col("ts").cast("timestamp")), "_carry": F.lit(NEVER)}
     )
@@ -134,4 +140,4 @@ def suppress_alerts(
         rows = rows.withColumn("_group", F.concat_ws("|", "_key", F.format_string("%020d", F.col("_chunk"))))
     rows = rows.select(*columns, "_group", "_us", "_carry")
     sorted_rows = rows.repartition("_group").sortWithinPartitions("_group", "_us", "alert_id")
-    return sorted_rows.mapInArrow(_walk(window), rows.schema).select(*columns)
+    return sorted_rows.mapInArrow(_walk(window), rows.schema).select(*columns).unionByName(undated)

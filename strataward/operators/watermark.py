@@ -44,7 +44,7 @@ def advance_only(stored: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def remove_watermark(stored: DataFrame, dataset: str) -> DataFrame:
-    return stored.where(F.col("dataset") != dataset)
+    return stored.where(~F.col("dataset").eqNullSafe(dataset))
 
 
 def watermark_of(stored: DataFrame, dataset: str) -> DataFrame:

@@ -11,7 +11,9 @@ from strataward.operators.coverage import coverage, find_gaps
 from strataward.operators.dictionary import build_dimensions, encode
 from strataward.operators.normalize import normalize
 from strataward.operators.planning import due_rows, plan_loads
+from strataward.operators.consistency import date_fields
 from strataward.plans.flow import validate_dataset
+from strataward.session import stored_frame
 from strataward.sources.catalog import CATALOG, NONE, DatasetSpec, due_datasets
 from strataward.sources.reader import source_frame
 from strataward.sources.writer import upsert_partitioned, write_dataset
@@ -38,18 +40,23 @@ def run_load(
 ) -> DataFrame | None:
     """Load one source into its dataset; returns the issues when validation is asked for.
 
-    mode "upsert" merges by key into the touched partitions, "overwrite" replaces them.
+    mode "upsert" merges by key into the touched partitions (of equal keys the newest by
+    ``order`` stays), "overwrite" replaces them. Issues are found before the write, within
+    each key, and stored, so they don't change with the dataset.
     """
     rows = prepare(source_frame(spark, source), spec, dictionary)
     issues = None
     if validate_as_of is not None:
-        issues = validate_dataset(rows, spec.name, data_type, validate_as_of, order_by=order)
+        dated = date_fields(rows)
+        series = [k for k in keys if k not in dated]
+        steps = [*[k for k in keys if k in dated], *order]
+        issues = stored_frame(validate_dataset(rows, spec.name, data_type, validate_as_of, steps, series), "issues")
     if mode == "overwrite" or spec.granularity == NONE:
         write_dataset(rows, spec)
     elif mode == "upsert":
         if not keys:
             raise ValueError("upsert needs keys")
-        upsert_partitioned(rows, spec.path, spec.partition_by[0], keys, (), spec.sort_fields)
+        upsert_partitioned(rows, spec.path, spec.partition_by[0], keys, order, spec.sort_fields)
     else:
         raise ValueError(f"unknown mode {mode}")
     return issues
@@ -66,21 +73,23 @@ def plan_and_load(
     dictionary: DataFrame | None = None,
     gap_policy: str = "full",
     calendar: DataFrame | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Scan coverage, decide per code, load what is due from a staged source; returns the plan.
 
-    ``source`` has ``ts_code`` and the dataset's date field.
+    ``source`` has ``ts_code`` and the dataset's date field. The plan is stored before the
+    load replaces the files it was made from. Of equal keys the newest by ``order`` stays.
     """
     stored = spark.read.parquet(spec.path)
     field = spec.partition_field
     cov = coverage(stored, spec.name, "ts_code", field, calendar)
     gaps = find_gaps(stored, spec.name, "ts_code", field, calendar) if gap_policy == "missing" else None
-    plan = plan_loads(cov, universe, spec.name, start, end, gap_policy, gaps)
+    plan = stored_frame(plan_loads(cov, universe, spec.name, start, end, gap_policy, gaps), "plan")
     dated = normalize(source, spec).withColumn("_day", F.to_date(F.col(f"{field}_int").cast("string"), "yyyyMMdd"))
     rows = due_rows(plan, dated, "ts_code", "_day").drop("_day")
     if dictionary is not None:
         rows = encode(rows, dictionary, "ts_code")
-    upsert_partitioned(rows, spec.path, spec.partition_by[0], keys, (), spec.sort_fields)
+    upsert_partitioned(rows, spec.path, spec.partition_by[0], keys, order, spec.sort_fields)
     return plan
 
 

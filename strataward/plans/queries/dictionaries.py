@@ -128,7 +128,7 @@ def _(spark, d):
 
 def _hash_sql(frm: str, name: str) -> str:
     """Tree hash of (code, id) rows as common table expressions."""
-    return f"""{name}_l AS (SELECT h, count(*) AS n FROM (SELECT sha256('=' || code || '|' || '=' || id) AS h FROM {frm}) GROUP BY h),
+    return f"""{name}_l AS (SELECT h, count(*) AS n FROM (SELECT sha256(length(code) || '=' || code || '|' || length(CAST(id AS VARCHAR)) || '=' || id) AS h FROM {frm}) GROUP BY h),
   {name}_a AS (SELECT substr(h, 1, 4) AS p, sha256(string_agg(h || ':' || n, '' ORDER BY h || ':' || n)) AS h FROM {name}_l GROUP BY 1),
   {name}_b AS (SELECT substr(p, 1, 2) AS p, sha256(string_agg(h, '' ORDER BY h)) AS h FROM {name}_a GROUP BY 1),
   {name} AS (SELECT sha256(string_agg(h, '' ORDER BY h)) AS content_hash FROM {name}_b)"""

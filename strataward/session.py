@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators are tuned for. All can be set on a live session.
 SQL_SETTINGS = {
@@ -41,10 +41,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster; a temporary one only where none is named."""
+    """Shared folder of the cluster, from ``spark.checkpoint.dir``.
+
+    Only a session in one process may go without: it gets a temporary folder. On a cluster
+    the driver's folders are out of the executors' reach, so a missing setting is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_scratch:
         _own_scratch.append(tempfile.mkdtemp(prefix="spark-"))
     return _own_scratch[0]
@@ -53,3 +60,10 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored_frame(df: DataFrame, label: str) -> DataFrame:
+    """Write to the shared folder and read back, so later changes of the inputs don't reach the rows."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

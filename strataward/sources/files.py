@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strataward.sources import fs
 from strataward.sources.catalog import CATALOG, NONE, DatasetSpec
+from strataward.sources.writer import NULL_FOLDER
 
 PARTITION_RX = r"/([^/=]+)=([^/]+)/[^/]*$"
 
@@ -19,7 +20,7 @@ def infer_partition_field(folder: str) -> str:
 
 
 def partition_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per Parquet file: path, bytes, time, partition field and value.
+    """One row per Parquet file: path, bytes, time, partition field and value (null: rows without one).
 
     Only path, length and time are selected, so no file content is read.
     """
@@ -38,7 +39,7 @@ def partition_files(spark: SparkSession, path: str) -> DataFrame:
         F.col("modificationTime").alias("modified"),
         F.when(field != "", field).otherwise("").alias("field"),
         F.when(field != "", F.concat(field, F.lit("="), value)).otherwise("").alias("partition"),
-        value.alias("value"),
+        F.when(value != NULL_FOLDER, value).alias("value"),
     )
 
 
@@ -107,8 +108,9 @@ def partition_stats(spark: SparkSession, path: str, by: str) -> DataFrame:
     """
     sizes = partition_sizes(partition_files(spark, path))
     rows = spark.read.parquet(path).groupBy(F.col(by).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("record_count"))
-    return sizes.join(rows, "value", "left").select(
-        "partition", "value", "file_count", "size_bytes", "created", "modified",
+    same = sizes["value"].eqNullSafe(rows["value"])
+    return sizes.join(rows, same, "left").select(
+        "partition", sizes["value"], "file_count", "size_bytes", "created", "modified",
         F.coalesce("record_count", F.lit(0)).alias("record_count"),
     )
 
@@ -123,11 +125,12 @@ def layout_health(spark: SparkSession, path: str, small_mb: float = 10.0) -> Dat
     listed = {r["partition"]: r["n"] for r in files.groupBy("partition").agg(F.count(F.lit(1)).alias("n")).collect()}
     hollow = [(p, n) for p in fs.child_folders(spark, path) if (n := fs.file_count(spark, f"{path}/{p}") - listed.get(p, 0)) > 0]
     blank = spark.createDataFrame(hollow, "partition string, empty_files long")
+    stored = spark.read.option("ignoreCorruptFiles", True).parquet(path)
     seen = (
-        spark.read.option("ignoreCorruptFiles", True)
-        .parquet(path)
+        stored
         .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.xxhash64(*stored.columns)).alias("content"))
+        .where("content IS NOT NULL")  # the hash makes the scan read every column
     )
     key = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")
     joined = files.withColumn("_k", key(F.col("path"))).join(seen.withColumn("_k", key(F.col("file_path"))), "_k", "left")
@@ -188,14 +191,14 @@ def _quoted(text: str) -> str:
 
 
 def scan_time_summary(
-    history: DataFrame, as_of: str, window_hours: int = 24, slow_ms: float = 1000.0, keep: int = 100
+    history: DataFrame, as_of: str, window_hours: int = 24, slow_ms: float = 1000.0
 ) -> DataFrame:
     """Average scan time per partition over the window, with the whole-window figures.
 
-    ``history``: partition, ts, query_time_ms. Only the newest ``keep`` records of
-    a partition count, as the history table is trimmed to that length.
+    ``history``: partition, ts, query_time_ms. Every record in the window counts;
+    ``trim_history`` shortens the stored table in a step of its own.
     """
-    recent = trim_history(history, ["partition"], ["ts"], keep).where(
+    recent = history.where(
         F.col("ts") > F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(window_hours)} HOURS")
     )
     per = recent.groupBy("partition").agg(

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataward.sources import fs
 from strataward.sources.catalog import NONE, YEAR, YEAR_MONTH, DatasetSpec
 
 MAX_TOUCHED = 100_000  # partition folders one write may replace
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: where Spark puts rows without a partition value
 
 
 def _laid_out(df: DataFrame, by: Sequence[str], sort: Sequence[str]) -> DataFrame:
@@ -56,10 +57,17 @@ def write_monthly(df: DataFrame, path: str, sort: Sequence[str] = ()) -> None:
 
 
 def write_single(df: DataFrame, path: str, sort: Sequence[str] = (), verify: bool = True) -> None:
-    """Replace an unpartitioned dataset; reads one row back when verifying."""
-    _laid_out(df, [], sort).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Replace an unpartitioned dataset; reads one row back when verifying.
+
+    The rows go to a sibling folder, which takes the dataset's place once it is complete.
+    """
+    spark = df.sparkSession
+    staging = fs.staging_for(path)
+    _laid_out(df, [], sort).write.option("compression", "zstd").parquet(staging)
     if verify:
-        df.sparkSession.read.parquet(path).limit(1).collect()
+        spark.read.parquet(staging).limit(1).collect()
+    fs.replace_folder(spark, staging, path)
+    spark.catalog.refreshByPath(path)
 
 
 def write_dataset(df: DataFrame, spec: DatasetSpec) -> None:
@@ -73,19 +81,30 @@ def write_dataset(df: DataFrame, spec: DatasetSpec) -> None:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first) -> DataFrame:
-    """One row per key. Spark limits each group before the shuffle, so copies cost little."""
-    w = Window.partitionBy(*keys).orderBy(*newest_first)
+    """One row per key. Spark limits each group before the shuffle, so copies cost little.
+
+    Rows that the order leaves equal are told apart by a hash of their content, so a
+    second run keeps the same one.
+    """
+    w = Window.partitionBy(*keys).orderBy(*newest_first, F.xxhash64(*df.columns))
     return df.withColumn("_sw_rank", F.row_number().over(w)).where(F.col("_sw_rank") <= 1).drop("_sw_rank")
 
 
 def touched_values(df: DataFrame, by: str) -> list:
-    """Partition values of a frame: a list of years or months, checked for size."""
+    """Partition values of a frame, null among them: a list of years or months, checked for size."""
     values = [r[0] for r in df.select(by).distinct().limit(MAX_TOUCHED + 1).collect()]
     if len(values) > MAX_TOUCHED:
         raise ValueError(f"more than {MAX_TOUCHED} partitions touched; {by} is not a partition column")
     return values
 
 
+def in_partitions(by: str, values: Sequence) -> Column:
+    """Rows of the given partitions; None stands for the partition of rows without a value. Prunes folders."""
+    known = [v for v in values if v is not None]
+    here = F.col(by).isin(known) if known else F.lit(False)
+    return here | F.col(by).isNull() if any(v is None for v in values) else here
+
+
 def rewrite_partitions(
     spark: SparkSession, df: DataFrame, path: str, by: str, sort: Sequence[str] = (), lay_out: bool = True
 ) -> list[str]:
@@ -115,17 +134,18 @@ def upsert_partitioned(
     """Merge rows into their partitions: latest row per key wins, others stay.
 
     Latest is by ``order`` columns, then incoming over stored. Keys must imply
-    the partition. Only touched partitions are read and rewritten.
+    the partition. Only touched partitions are read and rewritten; rows whose
+    partition value is null are a partition like any other.
     """
     spark = df.sparkSession
     _require(df, [by, *keys, *order])
     newest = [F.col(c).desc_nulls_last() for c in order]
     if not fs.has_parquet(spark, path):
-        write_partitioned(latest_per_key(df, [by, *keys], newest or [F.lit(0)]), path, [by], sort)
+        write_partitioned(latest_per_key(df, [by, *keys], newest), path, [by], sort)
         return
     incoming = df.withColumn("_sw_new", F.lit(1))
     stored = spark.read.parquet(path)
-    stored = stored.where(F.col(by).isin(touched_values(df, by))).withColumn("_sw_new", F.lit(0))
+    stored = stored.where(in_partitions(by, touched_values(df, by))).withColumn("_sw_new", F.lit(0))
     both = stored.unionByName(incoming, allowMissingColumns=True)
     merged = latest_per_key(both, [by, *keys], [*newest, F.col("_sw_new").desc()]).drop("_sw_new")
     rewrite_partitions(spark, merged, path, by, sort)

@@ -12,7 +12,9 @@ from strataward.session import scratch_path
 REGISTRY = Registry()
 query = REGISTRY.query
 
-# two of three customers are known; the others are not
+# every customer
+_FULL = "dict AS (SELECT c_name AS code, 999999 + row_number() OVER (ORDER BY c_name) AS id FROM customer)"
+# for IDs given in two steps: two of three customers are known, then the others come
 _DICT = "dict AS (SELECT c_name AS code, 999999 + row_number() OVER (ORDER BY c_name) AS id FROM customer WHERE c_custkey % 3 <> 0)"
 _GROWN = _DICT + """, grown AS (SELECT code, id FROM dict UNION ALL
   SELECT c_name, (SELECT max(id) FROM dict) + row_number() OVER (ORDER BY c_name) FROM customer WHERE c_custkey % 3 = 0)"""
@@ -28,6 +30,10 @@ def _dict(spark, d):
     return D.allocate_ids(D.empty_dictionary(spark), known, "stock")
 
 
+def _full(spark, d):
+    return D.allocate_ids(D.empty_dictionary(spark), _customers(spark, d), "stock")
+
+
 def _sales(spark, d):
     c = _customers(spark, d).withColumnsRenamed({"c_custkey": "o_custkey", "code": "ts_code"})
     return X.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice").join(c, "o_custkey").drop("o_custkey")
@@ -38,9 +44,9 @@ def _(spark, d):
     return D.allocate_ids(_dict(spark, d), _customers(spark, d), "stock")
 
 
-@query("encode", f"WITH {_DICT}{_SALES} SELECT o_orderkey, ts_code, o_totalprice, id AS ts_code_id FROM sales LEFT JOIN dict ON ts_code = code")
+@query("encode", f"WITH {_FULL}{_SALES} SELECT o_orderkey, ts_code, o_totalprice, id AS ts_code_id FROM sales LEFT JOIN dict ON ts_code = code")
 def _(spark, d):
-    return D.encode(_sales(spark, d), _dict(spark, d), "ts_code")
+    return D.encode(_sales(spark, d), _full(spark, d), "ts_code")
 
 
 @query("sync_encode", f"WITH {_GROWN}{_SALES} SELECT o_orderkey, ts_code, o_totalprice, id AS ts_code_id FROM sales JOIN grown ON ts_code = code")
@@ -85,18 +91,18 @@ def _(spark, d):
     return D.sync_status(D.build_dimensions(X.dims(spark, d)))
 
 
-@query("dict_stats", f"WITH {_DICT} SELECT 'stock' AS kind, count(*) AS id_count, min(id) AS min_id, max(id) AS max_id, max(id) + 1 AS next_id, 1999999 - max(id) AS remaining, CAST(0 AS BIGINT) AS out_of_range FROM dict")
+@query("dict_stats", f"WITH {_FULL} SELECT 'stock' AS kind, count(*) AS id_count, min(id) AS min_id, max(id) AS max_id, max(id) + 1 AS next_id, 1999999 - max(id) AS remaining, CAST(0 AS BIGINT) AS out_of_range FROM dict")
 def _(spark, d):
-    return D.dict_stats(_dict(spark, d), "stock")
+    return D.dict_stats(_full(spark, d), "stock")
 
 
 @query(
     "valid_ids",
-    f"WITH {_DICT} SELECT o_orderkey, 999000 + o_orderkey AS id, dict.id IS NOT NULL AS is_valid FROM orders LEFT JOIN dict ON dict.id = 999000 + o_orderkey",
+    f"WITH {_FULL} SELECT o_orderkey, 999000 + o_orderkey AS id, dict.id IS NOT NULL AS is_valid FROM orders LEFT JOIN dict ON dict.id = 999000 + o_orderkey",
 )
 def _(spark, d):
     ids = X.table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") + 999000).alias("id"))
-    return D.valid_ids(ids, _dict(spark, d), "stock")
+    return D.valid_ids(ids, _full(spark, d), "stock")
 
 
 @query(
@@ -121,9 +127,9 @@ def _(spark, d):
     return D.universe(D.allocate_ids(_dict(spark, d), _customers(spark, d), "stock"))
 
 
-@query("lookup", f"WITH {_DICT} SELECT code, id FROM dict WHERE code = 'Customer#000000010'")
+@query("lookup", f"WITH {_FULL} SELECT code, id FROM dict WHERE code = 'Customer#000000010'")
 def _(spark, d):
-    return D.lookup(_dict(spark, d), "Customer#000000010")
+    return D.lookup(_full(spark, d), "Customer#000000010")
 
 
 def _hash_sql(frm: str, name: str) -> str:

@@ -41,6 +41,24 @@ def _(spark, d):
     return spark.read.parquet(spec.path)
 
 
+@query(
+    "run_load_order",
+    """SELECT o_custkey AS ts_code, strftime(o_orderdate, '%Y%m') || '01' AS trade_date, o_orderkey, o_totalprice AS close,
+      CAST(strftime(o_orderdate, '%Y%m') || '01' AS INT) AS trade_date_int, CAST(strftime(o_orderdate, '%Y%m') AS INT) AS year_month
+    FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey, strftime(o_orderdate, '%Y%m') ORDER BY o_orderkey DESC) = 1""",
+)
+def _(spark, d):
+    # a customer's orders of a month share a key; the newest order stays, whichever load brings it
+    spec = DatasetSpec("monthly", scratch_path(spark, "order"), YEAR_MONTH, "trade_date", ("ts_code", "trade_date_int"))
+    rows = X.table(spark, d, "orders").select(
+        F.col("o_custkey").alias("ts_code"), F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit("01")).alias("trade_date"), "o_orderkey",
+        F.col("o_totalprice").alias("close"),
+    )
+    for part in (F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 3 == 0):
+        load.run_load(spark, spec, rows.where(part), keys=("ts_code", "trade_date"), order=("o_orderkey",))
+    return spark.read.parquet(spec.path)
+
+
 @query("plan_and_load", _LOADED + "SELECT * FROM loaded")
 def _(spark, d):
     # the lake holds ten days of half the codes; the plan brings in the rest of the month

@@ -23,7 +23,7 @@ _CHECKS = ("required_field_null", "price_bounds", "price_anomaly", "missing_stoc
 _SCOPES = ("field", "field", "anomaly", "cross", "logical", "referential", "field", "cross")
 _LIST = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 _ISSUES = f"""iss AS (SELECT l_returnflag AS dataset, {_LIST(_SCOPES)}[(l_orderkey % 8 + 1)::INT] AS scope, {_LIST(_CHECKS)}[(l_orderkey % 8 + 1)::INT] AS chk,
-   CAST(l_quantity AS BIGINT) AS cnt FROM lineitem WHERE l_discount >= 0.09),
+   CAST(sum(l_quantity) AS BIGINT) AS cnt FROM lineitem GROUP BY l_returnflag, l_orderkey),
 tot AS (SELECT l_returnflag AS dataset, count(*) AS total_records FROM lineitem GROUP BY 1
   UNION ALL SELECT 'empty', CAST(0 AS BIGINT)),
 sc AS (SELECT t.dataset, t.total_records, coalesce(i.n, 0) AS total_issues, CASE WHEN t.total_records > 0 THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - coalesce(i.n, 0)::DOUBLE / t.total_records))
@@ -33,7 +33,7 @@ sev AS (SELECT *, CASE WHEN regexp_matches(chk, 'missing|null|required|invalid')
 
 
 def _issues(spark, d):
-    li = X.table(spark, d, "lineitem").where(F.col("l_discount") >= 0.09)
+    li = X.table(spark, d, "lineitem").groupBy("l_returnflag", "l_orderkey").agg(F.sum("l_quantity").alias("l_quantity"))
     at = (F.col("l_orderkey") % 8 + 1).cast("int")
     pick = lambda xs: F.element_at(F.array(*[F.lit(x) for x in xs]), at)
     return li.select(*issue_columns(F.col("l_returnflag"), pick(_SCOPES), pick(_CHECKS), "l_quantity", F.col("l_orderkey"), count=F.col("l_quantity")))

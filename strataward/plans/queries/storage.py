@@ -286,3 +286,69 @@ def _(spark, d):
     placed = MONTHLY.located(scratch_path(spark, "rebuilt"))
     L.rebuild_dataset(spark, old, placed, normalize)
     return spark.read.parquet(placed.path)
+
+
+# a tenth of the orders have a date that cannot be read, in each of two loads
+_UNDATED = """u AS (SELECT o_orderkey, o_custkey AS ts_code, CASE WHEN o_orderkey % 10 < 2 THEN 'n/a' ELSE strftime(o_orderdate, '%Y%m%d') END AS trade_date, o_totalprice AS close,
+  CAST(CASE WHEN o_orderkey % 10 >= 2 THEN strftime(o_orderdate, '%Y%m%d') END AS INT) AS trade_date_int,
+  CAST(CASE WHEN o_orderkey % 10 >= 2 THEN year(o_orderdate) END AS INT) AS year FROM orders)"""
+
+
+def _undated(spark, d):
+    lost = F.col("o_orderkey") % 10 < 2
+    return normalize(_raw(spark, d).withColumn("trade_date", F.when(lost, "n/a").otherwise(F.col("trade_date"))), YEARLY)
+
+
+def _two_loads(spark, d):
+    """Even orders first, then the odd ones beside repeated even ones."""
+    path = scratch_path(spark, "undated")
+    rows = _undated(spark, d)
+    W.upsert_partitioned(rows.where(F.col("o_orderkey") % 2 == 0), path, "year", ["o_orderkey"], (), YEARLY.sort_fields)
+    W.upsert_partitioned(rows.where(F.col("o_orderkey") % 4 != 0), path, "year", ["o_orderkey"], (), YEARLY.sort_fields)
+    return path
+
+
+@query("upsert_undated", f"WITH {_UNDATED} SELECT * FROM u")
+def _(spark, d):
+    return spark.read.parquet(_two_loads(spark, d))
+
+
+@query("partition_stats_undated", f"WITH {_UNDATED} SELECT CAST(year AS VARCHAR) AS value, count(*) AS record_count FROM u GROUP BY year")
+def _(spark, d):
+    return P.partition_stats(spark, _two_loads(spark, d), "year").select("value", "record_count")
+
+
+@query(
+    "compact_undated",
+    f"""WITH {_UNDATED} SELECT 'rows' AS what, CAST(year AS VARCHAR) AS value, count(*) AS n FROM u GROUP BY year
+    UNION ALL SELECT 'files', CAST(year AS VARCHAR), 1 FROM u GROUP BY year""",
+)
+def _(spark, d):
+    path = scratch_path(spark, "undated")
+    _undated(spark, d).repartition(6).write.partitionBy("year").parquet(path)
+    L.compact_small(spark, path, "year", YEARLY.sort_fields)
+    files = P.partition_sizes(P.partition_files(spark, path)).select(F.lit("files").alias("what"), "value", F.col("file_count").alias("n"))
+    rows = spark.read.parquet(path).groupBy(F.col("year").cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(F.lit("rows").alias("what"), "value", "n").unionByName(files)
+
+
+@query("compact_to_target_undated", f"WITH {_UNDATED} SELECT * FROM u")
+def _(spark, d):
+    path = _two_loads(spark, d)
+    L.compact_to_target(spark, path, "year", YEARLY.sort_fields, target_mb=0.01)
+    return spark.read.parquet(path)
+
+
+@query("backup_undated", f"WITH {_UNDATED} SELECT year, count(*) AS n FROM u GROUP BY year")
+def _(spark, d):
+    path, copy = _two_loads(spark, d), scratch_path(spark, "backup")
+    L.archive_partitions(spark, path, P.partition_sizes(P.partition_files(spark, path)), "backup", copy)
+    return spark.read.parquet(copy).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("recompress_folders", f"WITH {_ROWS} SELECT DISTINCT 'year_month=' || year_month AS folder FROM s")
+def _(spark, d):
+    path = scratch_path(spark, "months")
+    _rows(spark, d, MONTHLY).write.option("compression", "snappy").partitionBy("year_month").parquet(path)
+    done = L.recompress(spark, path, "year_month", MONTHLY.sort_fields, large_mb=0.0)
+    return spark.createDataFrame([(f,) for f in done], "folder string")

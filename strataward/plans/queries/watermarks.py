@@ -12,12 +12,12 @@ from strataward.session import scratch_path
 REGISTRY = Registry()
 query = REGISTRY.query
 
-# a first load up to the 15th without errors, then updates without counts
+# a first load up to the 15th without errors, then updates of every type, counted for errors only
 _STORED = """st AS (SELECT event_type AS dataset, CAST(max(ts) AS DATE) AS last_update_date, count(*) AS record_count,
    TIMESTAMP '2024-01-15 12:00:00' AS created_at, TIMESTAMP '2024-01-15 12:00:00' AS updated_at
    FROM events WHERE ts < TIMESTAMP '2024-01-16' AND event_type <> 'error' GROUP BY 1)"""
 _MERGED = _STORED + """, up AS (SELECT event_type AS dataset, CAST(max(ts) AS DATE) AS last_update_date, CAST(CASE WHEN event_type = 'error' THEN count(*) END AS BIGINT) AS record_count,
-   CAST(max(ts) AS TIMESTAMP) AS updated_at FROM events WHERE event_type IN ('click', 'error') GROUP BY 1),
+   CAST(max(ts) AS TIMESTAMP) AS updated_at FROM events GROUP BY 1),
  mg AS (SELECT coalesce(st.dataset, up.dataset) AS dataset, coalesce(up.last_update_date, st.last_update_date) AS last_update_date,
    coalesce(up.record_count, st.record_count) AS record_count, coalesce(st.created_at, up.updated_at) AS created_at,
    coalesce(up.updated_at, st.updated_at) AS updated_at FROM st FULL JOIN up ON st.dataset = up.dataset)"""
@@ -32,7 +32,7 @@ def _stored(spark, d):
 
 
 def _updates(spark, d):
-    e = X.table(spark, d, "events").where(F.col("event_type").isin("click", "error"))
+    e = X.table(spark, d, "events")
     # one update per day; the newest counts
     days = e.groupBy(F.col("event_type").alias("dataset"), F.col("ts").cast("date").alias("last_update_date")).agg(
         F.max("ts").alias("updated_at")

@@ -142,6 +142,29 @@ def _(spark, d):
     return _quartiles(spark, d, SkewPolicy())
 
 
+_ENDLESS = """SELECT event_type, CAST(quantile_disc(v, 0.5) AS VARCHAR) AS q2, CAST(quantile_disc(v, 0.9) AS VARCHAR) AS q9, CAST(quantile_disc(v, 0.1) AS VARCHAR) AS q1
+ FROM (SELECT event_type, CASE WHEN event_id % 4 = 0 THEN 'infinity'::DOUBLE WHEN event_id % 4 = 1 THEN '-infinity'::DOUBLE ELSE round(value) END AS v FROM events) GROUP BY event_type"""
+
+
+def _endless(spark, d, policy):
+    kind = F.col("event_id") % 4
+    v = F.when(kind == 0, F.lit(float("inf"))).when(kind == 1, F.lit(float("-inf"))).otherwise(F.round("value"))
+    e = X.table(spark, d, "events").select("event_type", v.alias("v"))
+    q = key_quantiles(e, ["event_type"], "v", [0.1, 0.5, 0.9], ["q1", "q2", "q9"], "disc", policy)
+    text = lambda c: F.when(F.col(c) == float("inf"), "inf").when(F.col(c) == float("-inf"), "-inf").otherwise(F.col(c).cast("string"))
+    return q.select("event_type", *[text(c).alias(c) for c in ("q1", "q2", "q9")])
+
+
+@query("key_quantiles_endless", _ENDLESS)
+def _(spark, d):
+    return _endless(spark, d, SkewPolicy())
+
+
+@query("key_quantiles_endless_split", _ENDLESS)
+def _(spark, d):
+    return _endless(spark, d, SPLIT)
+
+
 @query("key_quantiles_split", _QUANT)
 def _(spark, d):
     return _quartiles(spark, d, SPLIT)

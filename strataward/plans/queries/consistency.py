@@ -117,6 +117,21 @@ def _(spark, d):
     return C.check_date_bounds(_checked(spark, d), "bars", AS_OF, CONFIG)
 
 
+@query(
+    "check_date_bounds_second",
+    """SELECT 'orders' AS dataset, 'logical' AS scope, 'future_date' AS "check", 'ship_date' AS field, CAST(NULL AS VARCHAR) AS entity,
+    CAST(NULL AS VARCHAR) AS period, count(*) AS "count", 'Date field ship_date has ' || count(*) || ' future dates' AS description
+    FROM orders WHERE o_orderkey % 3 = 0""",
+)
+def _(spark, d):
+    # the first date column is sound, the second is not
+    day = F.col("o_orderdate").cast("date")
+    o = X.table(spark, d, "orders").select(
+        "o_orderkey", day.alias("trade_date"), F.when(F.col("o_orderkey") % 3 == 0, F.lit("2999-01-01").cast("date")).otherwise(day).alias("ship_date")
+    )
+    return C.check_date_bounds(o, "orders", AS_OF)
+
+
 _ALL = _VIEWS.rstrip().replace("FROM bars_faulty WINDOW", "FROM checked WINDOW") + "\n"
 _ALL_RULES = _union(REQUIRED, PRICES, VOLUME, NULL_DATES, OHLC, BOUNDS, CHANGE)
 

@@ -113,6 +113,18 @@ def _(spark, d):
     return C.dataset_inventory(o, "orders", "year")
 
 
+@query(
+    "dataset_inventory_dates",
+    """SELECT 'orders' AS dataset, count(*) AS record_count, CAST(0 AS BIGINT) AS partition_values, f.field,
+    CAST(min(o_orderdate) AS DATE) + f.n AS min_date, CAST(max(o_orderdate) AS DATE) + f.n AS max_date
+    FROM orders, (VALUES ('o_orderdate', 0), ('pay_date', 10), ('ship_date', 20), ('close_date', 40)) f(field, n) GROUP BY f.field, f.n""",
+)
+def _(spark, d):
+    day = F.col("o_orderdate").cast("date")
+    o = X.table(spark, d, "orders").withColumns({"pay_date": F.date_add(day, 10), "ship_date": F.date_add(day, 20), "close_date": F.date_add(day, 40)})
+    return C.dataset_inventory(o, "orders")
+
+
 # -- planning ---------------------------------------------------------------
 
 _REQ = f"DATE '{START}' AS rs, DATE '{END}' AS re"

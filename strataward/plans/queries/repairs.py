@@ -174,6 +174,17 @@ def _(spark, d):
     return _gap_round(R.repair_gaps(_gap_source(spark, d), "trade_date", ["close", "volume"], ["ts_code"], policy=SPLIT))
 
 
+@query(
+    "repair_gaps_undated",
+    X.with_views("bars") + """SELECT ts_code, CASE WHEN volume % 5 = 0 THEN 'n/a' ELSE trade_date END AS trade_date, close, CAST(volume AS DOUBLE) AS volume FROM bars""",
+)
+def _(spark, d):
+    # a fifth of the rows have no readable date; they and all others stay
+    lost = F.col("volume") % 5 == 0
+    source = _gap_source(spark, d).withColumn("trade_date", F.when(lost, "n/a").otherwise(F.col("trade_date")))
+    return R.repair_gaps(source, "trade_date", ["close", "volume"], ["ts_code"]).where("NOT is_filled").drop("is_filled")
+
+
 @query("repair_gaps_calendar", GAP_FILL + " JOIN calendar ON cal_date = day WHERE day = d OR is_open = 1")
 def _(spark, d):
     source = _gap_source(spark, d)

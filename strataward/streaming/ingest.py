@@ -11,30 +11,43 @@ from strataward.functions.dates import as_date
 from strataward.operators.watermark import load_watermarks, merge_watermarks, save_watermarks
 from strataward.plans.load import prepare
 from strataward.sources.catalog import NONE, DatasetSpec
-from strataward.sources.writer import upsert_partitioned
+from strataward.session import stored_frame
+from strataward.sources.writer import in_partitions, touched_values, upsert_partitioned
 
 
 def ingest_batch(
     batch: DataFrame, spec: DatasetSpec, dictionary: DataFrame | None, keys: Sequence[str], order: Sequence[str], watermarks: str | None
 ) -> None:
-    """Normalise, encode, upsert, then advance the watermark. Safe to run twice on one batch."""
+    """Normalise, encode, upsert, then advance the watermark. Safe to run twice on one batch.
+
+    The batch is evaluated once. The watermark moves by the batch's newest date and by the
+    change in rows of the touched partitions, which their file footers tell; the rest of the
+    dataset is only counted where it has no watermark yet.
+    """
     if spec.granularity == NONE:
         raise ValueError(f"{spec.name} has no partitions to merge into")
     if batch.isEmpty():
         return
     spark = batch.sparkSession
-    rows = prepare(batch, spec, dictionary)
+    rows = stored_frame(prepare(batch, spec, dictionary), "batch")
     by = spec.partition_by[0]
+    if not watermarks:
+        upsert_partitioned(rows, spec.path, by, keys, order, spec.sort_fields)
+        return
+    old = load_watermarks(spark, watermarks).where(F.col("dataset") == spec.name).select("last_update_date", "record_count").first()
+    here = in_partitions(by, touched_values(rows, by)) if old else F.lit(True)
+    before = spark.read.parquet(spec.path).where(here).count() if old else 0
     upsert_partitioned(rows, spec.path, by, keys, order, spec.sort_fields)
-    if watermarks:
-        stored = spark.read.parquet(spec.path)
-        mark = stored.agg(
-            F.max(as_date(stored, spec.partition_field)).alias("last_update_date"), F.count(F.lit(1)).alias("record_count")
-        ).select(
-            F.lit(spec.name).alias("dataset"), "last_update_date", "record_count",
-            F.col("last_update_date").cast("timestamp_ntz").alias("updated_at"),
-        )
-        save_watermarks(merge_watermarks(load_watermarks(spark, watermarks), mark), watermarks)
+    change = spark.read.parquet(spec.path).where(here).count() - before
+    source = rows if old else spark.read.parquet(spec.path)
+    newest = F.max(as_date(source, spec.partition_field))
+    if old:
+        newest = F.greatest(newest, F.lit(old["last_update_date"]).cast("date"))
+    mark = source.agg(newest.alias("last_update_date")).select(
+        F.lit(spec.name).alias("dataset"), "last_update_date", F.lit((old["record_count"] or 0) + change if old else change).cast("long").alias("record_count"),
+        F.col("last_update_date").cast("timestamp_ntz").alias("updated_at"),
+    )
+    save_watermarks(merge_watermarks(load_watermarks(spark, watermarks), mark), watermarks)
 
 
 def stream_ingest(

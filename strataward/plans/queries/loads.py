@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataward.operators.dictionary import allocate_ids, empty_dictionary
+from strataward.operators.repair import RepairConfig, repair_dataset
 from strataward.operators.watermark import load_watermarks
 from strataward.plans import fixtures as X
 from strataward.plans import flow, load
@@ -14,6 +15,7 @@ from strataward.plans.queries.storage import YEARLY
 from strataward.plans.registry import Registry
 from strataward.session import scratch_path
 from strataward.sources.catalog import YEAR_MONTH, DatasetSpec
+from strataward.sources.reader import source_frame
 from strataward.streaming.alerts import STATE_STORE, suppress_stream
 from strataward.streaming.ingest import stream_ingest
 
@@ -192,3 +194,19 @@ def _(spark, d):
     )
     running.awaitTermination()
     return spark.read.parquet(f"{root}/emitted").select("alert_id", "us")
+
+
+@query("source_frame_path", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def _(spark, d):
+    return source_frame(spark, f"{d}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("repair_rules", "SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN 100000.0::DOUBLE ELSE o_totalprice END AS o_totalprice, CAST(o_custkey AS VARCHAR) AS code FROM orders")
+def _(spark, d):
+    # no built-in repair, two rules of the caller's own, in their order
+    rules = {
+        "ceiling": lambda df: df.withColumn("o_totalprice", F.least(F.col("o_totalprice"), F.lit(100000.0))),
+        "code": lambda df: df.withColumn("code", F.col("o_custkey").cast("string")).drop("o_custkey"),
+    }
+    orders = X.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return repair_dataset(orders, ["o_orderkey"], config=RepairConfig(repairs=(), rules=rules))[0]

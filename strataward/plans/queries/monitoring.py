@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataward.functions.size import SkewPolicy
+from strataward.operators import ledger as G
 from strataward.operators import monitor as M
 from strataward.operators import score as S
 from strataward.operators.issues import issue_columns
@@ -224,3 +225,49 @@ def _(spark, d):
 @query("suppress_alerts_muted", _chain(30, where="WHERE dataset <> '7'") + _EMITTED)
 def _(spark, d):
     return suppress_alerts(X.alert_feed(spark, d), muted=[("error", "7")])
+
+
+def _in_two(spark, frame, write):
+    """Give rows to ``write`` in two loads, the first ones twice."""
+    early = F.col("ts") < F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    for part in (frame.where(early), frame.where(early), frame.where(~early)):
+        write(part)
+
+
+@query("record_metrics", X.with_views("metrics_hist") + "SELECT dataset, ts, round(quality_score, 6) AS quality_score, total_issues, total_records FROM metrics_hist")
+def _(spark, d):
+    path = scratch_path(spark, "metrics")
+    _in_two(spark, X.metrics_hist(spark, d), lambda part: G.record_metrics(part, path))
+    return G.load_rows(spark, path).withColumn("quality_score", F.round("quality_score", 6))
+
+
+@query(
+    "trim_metrics",
+    X.with_views("metrics_hist") + "SELECT dataset, ts, total_issues, total_records FROM metrics_hist WHERE ts >= TIMESTAMP '2024-01-20'",
+)
+def _(spark, d):
+    path = scratch_path(spark, "metrics")
+    G.record_metrics(X.metrics_hist(spark, d), path)
+    G.trim_rows(spark, path, "2024-01-20")
+    return G.load_rows(spark, path).drop("quality_score")
+
+
+_RAISED = _chain(30) + "SELECT alert_id, alert_type, dataset, severity, ts, {flag} AS acknowledged FROM fo WHERE (k, ts) IN (SELECT (k, ts) FROM ch)"
+
+
+def _raised(spark, d):
+    path = scratch_path(spark, "alerts")
+    _in_two(spark, X.alert_feed(spark, d), lambda part: G.raise_alerts(part, path))
+    return path
+
+
+@query("raise_alerts", _RAISED.format(flag="false"))
+def _(spark, d):
+    return G.load_rows(spark, _raised(spark, d))
+
+
+@query("acknowledge_alerts", _RAISED.format(flag="CAST(substr(alert_id, 2) AS BIGINT) % 3 = 0"))
+def _(spark, d):
+    path = _raised(spark, d)
+    G.acknowledge_alerts(spark, path, X.alert_feed(spark, d).where(F.substring("alert_id", 2, 20).cast("long") % 3 == 0))
+    return G.load_rows(spark, path)

@@ -26,7 +26,8 @@ from strataward.llm.words import slices
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
+GROUP_WORDS = 64
 BUCKET_PIECES = 200_000
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -45,6 +46,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if suffix:
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -52,6 +58,24 @@ class WordEncoder:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_plain(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words of letters only, some words to a call: each word is one unit, whose last id ends it.
+
+        Where a word makes more than one unit after all, the ends don't add up, and its
+        neighbours are encoded one by one.
+        """
+        groups = [words[i : i + GROUP_WORDS] for i in range(0, len(words), GROUP_WORDS)]
+        out: list[bytes] = []
+        for own, e in zip(groups, self.tokenizer.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            cuts = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(cuts) != len(own) or cuts[-1] != 4 * len(ids):
+                out += self._encode(own)
+                continue
+            whole = ids.tobytes()
+            out += [whole[a:b] for a, b in zip([0, *cuts], cuts)]
+        return out
+
     def _learn(self, words: set[bytes]) -> None:
         """Get words into the young cache: from the old one, from a known stem, or from the tokenizer."""
         ask: list[bytes] = []
@@ -71,24 +95,24 @@ class WordEncoder:
                 self.young[p] = known
                 parts.discard(p)
         ask += parts
-        if ask:
-            self.young.update(zip(ask, self._encode(ask)))
+        plain = [w for w in ask if w.decode().isalpha()]
+        self.young.update(zip(plain, self._encode_plain(plain)))
+        rest = [w for w in ask if w not in self.young]
+        self.young.update(zip(rest, self._encode(rest)))
         for w, stem, tail in tails:
             self.young[w] = self.young[stem] + self.young[tail]
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        out: list[bytes] = []
-        for text in texts:
-            if any(s in text for s in self.special):
-                out += self._encode([text])
-                continue
-            words = text.lower().split()
-            if missing := {w for w in set(words) if w not in self.young}:
-                self._learn(missing)
-            out.append(b"".join([self.young[w] for w in words]))
-            if len(self.young) > CACHE_WORDS:
-                self.old, self.young = self.young, {}
+        whole = [any(s in t for s in self.special) for t in texts]
+        said = [[] if w else t.lower().split() for t, w in zip(texts, whole)]
+        get = self.young.get
+        missing = {w for words in said for w, ids in zip(words, map(get, words)) if ids is None}
+        if missing:
+            self._learn(missing)
+        out = [self._encode([t])[0] if w else b"".join(map(get, words)) for t, words, w in zip(texts, said, whole)]
+        if len(self.young) > CACHE_WORDS:
+            self.old, self.young = self.young, {}
         return out
 
 

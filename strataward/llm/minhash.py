@@ -6,7 +6,10 @@ bucket. Inside buckets, pairs are not written out: in each round a few members o
 (its centres) are held against those that are not yet known to be connected with them, first
 by signature, then by the full sets, and then leave the bucket. A bucket ends when all its
 members are in one component. A member leaves a bucket early if a bound shows that it can
-have no partner there: shingles that no other candidate has cannot be shared.
+have no partner there: shingles that no other candidate has cannot be shared. The same bound
+is held against each pair, and a pair is looked at in its first common band only. From the
+second round on, the triangle inequality of the Jaccard distance excludes pairs whose distances
+to their bucket's first centre differ by more than a link's distance.
 """
 
 from __future__ import annotations
@@ -27,8 +30,9 @@ from strataward.llm.words import lists, mix, run_hashes, slices, word_hashes
 SHINGLE = 5
 BANDS, BAND_ROWS = 20, 5
 LINK_PERCENT = 85
-# A pair at the link threshold is six standard deviations above this share of equal minima.
-SIGNATURE_SHARE = 0.63
+# A pair at the link threshold is four standard deviations above this share of equal minima.
+SIGNATURE_SHARE = 0.70
+CENTRE_GROWTH = 32
 _RNG = np.random.Generator(np.random.PCG64(97))
 _A = _RNG.integers(1, 2**32, BANDS * BAND_ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _RNG.integers(0, 2**32, BANDS * BAND_ROWS, dtype=np.uint64).astype(np.uint32)
@@ -85,9 +89,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     part[ROW], pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets], pa.string()),
-                    lists(list(band_keys(sig)), pa.int64()), lists(list(sig.view(np.int32)), pa.int32()),
+                    lists(list(band_keys(sig)), pa.int64()),
                 ],
-                names=[ROW, "n", "same", "bands", "sig"],
+                names=[ROW, "n", "same", "bands"],
             )
 
 
@@ -95,22 +99,34 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in slices(batch):
             sets = shingle_hashes(*word_hashes([t.lower() for t in texts]))
-            yield pa.RecordBatch.from_arrays([part[ROW], lists(sets, pa.int64())], names=[ROW, "shingles"])
+            sig = signatures(sets)
+            marks = (band_keys(sig) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [part[ROW], lists(sets, pa.int64()), lists(list(sig.astype(np.uint8).view(np.int8)), pa.int8()), lists(list(marks), pa.int32())],
+                names=["row", "shingles", "sig", "marks"],
+            )
 
 
 def _linked(both: Column, na: Column, nb: Column) -> Column:
     return 100 * both >= LINK_PERCENT * (na + nb - both)
 
 
+def _signatures_agree() -> Column:
+    """Whether enough minima of a member and a centre are equal, by their last 8 bits."""
+    equal = F.aggregate(F.zip_with("sig", "c_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    return equal >= SIGNATURE_SHARE * len(_A)
+
+
 def _candidates(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of buckets that are not all in one component and may still find a partner there.
 
     A member with n shingles, of which c are shared with any other candidate, can only link
     with sets of at most c * 185 / 85 - n shingles.
     """
-    label = members.withColumn("comp", F.col("row")) if labels is None else (
-        members.join(labels, members["row"] == labels["node"], "left").select("bucket", "row", "n", "most", F.coalesce("component", "row").alias("comp"))
-    )
+    if labels is None:
+        label = members.withColumn("comp", F.col("row"))
+    else:
+        label = members.join(labels, members["row"] == labels["node"], "left").select(*members.columns, F.coalesce("component", "row").alias("comp"))
     least = label.groupBy("bucket").agg(F.min("n").alias("least"))
     able = label.join(least, "bucket").where("most >= least").drop("least")
     mixed = able.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
@@ -118,57 +134,64 @@ def _candidates(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def near_links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(figures per row, set members, links between members' smallest rows or None)."""
+    """(figures per row, smallest row of each set, component of each linked row or None)."""
     texts = id_and_text(rows).select(ROW, "text")
-    seen = store(texts.mapInArrow(_scan, f"{ROW} long, n long, same string, bands array<long>, sig array<int>"), "minhash")
+    seen = store(texts.mapInArrow(_scan, f"{ROW} long, n long, same string, bands array<long>"), "minhash")
     same = store(seen.where("same IS NOT NULL").groupBy("same").agg(F.min(ROW).alias("row")), "members")
     members = seen.where("same IS NOT NULL").join(same.select(F.col("row").alias(ROW)), ROW, "left_semi")
-    exploded = members.select(F.explode("bands").alias("bucket"), F.col(ROW).alias("row"))
+    exploded = members.select(F.col(ROW).alias("row"), F.posexplode("bands").alias("band", "bucket"))
     shared = exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket")
     buckets = store(exploded.join(shared, "bucket"), "buckets")
-    wanted = buckets.select(F.col("row").alias(ROW)).distinct()
-    sets = store(texts.join(wanted, ROW, "left_semi").mapInArrow(_sets, f"{ROW} long, shingles array<long>"), "sets")
+    # the list of candidates grows with the corpus, so it is never broadcast
+    wanted = buckets.select(F.col("row").alias(ROW)).distinct().hint("merge")
+    sets = store(
+        texts.join(wanted, ROW, "left_semi").mapInArrow(_sets, "row long, shingles array<long>, sig array<tinyint>, marks array<int>"), "sets"
+    )
     alone = (
-        sets.select(ROW, F.explode("shingles").alias("s")).groupBy("s").agg(F.min(ROW).alias(ROW), F.count(F.lit(1)).alias("k"))
-        .where("k = 1").groupBy(ROW).agg(F.count(F.lit(1)).alias("alone"))
+        sets.select("row", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("k"))
+        .where("k = 1").groupBy("row").agg(F.count(F.lit(1)).alias("alone"))
     )
-    bound = sets.select(ROW, F.size("shingles").cast("long").alias("n")).join(alone, ROW, "left").select(
-        F.col(ROW).alias("row"), "n",
-        F.floor((F.col("n") - F.coalesce("alone", F.lit(0))) * (100 + LINK_PERCENT) / LINK_PERCENT - F.col("n")).alias("most"),
+    n = F.size("shingles").cast("long")
+    bound = sets.select("row", n.alias("n"), "marks", "sig").join(alone, "row", "left").select(
+        "row", "n", "marks", "sig", F.floor((F.col("n") - F.coalesce("alone", F.lit(0))) * (100 + LINK_PERCENT) / LINK_PERCENT - F.col("n")).alias("most")
     )
-    open_ = store(_candidates(buckets.join(store(bound, "bounds"), "row"), None).drop("comp"), "open")
-    facts = seen.select(F.col(ROW).alias("row"), "sig").join(sets.withColumnRenamed(ROW, "row"), "row")
-    links, labels, tested, centres = None, None, None, 1
+    members = buckets.join(store(bound, "bounds"), "row").withColumn("away", F.lit(None).cast("double"))
+    open_ = store(_candidates(members, None).drop("comp"), "open")
+    facts = store(sets.drop("marks", "sig").join(open_.select("row").distinct(), "row", "left_semi"), "facts")
+    labels, centres = None, 1
     while not open_.isEmpty():
         live = store(_candidates(open_, labels), "live")
         middle = live.withColumn("at", F.row_number().over(W.partitionBy("bucket").orderBy("row"))).where(f"at <= {centres}").drop("at")
-        c = middle.select("bucket", *[F.col(x).alias(f"c_{x}") for x in ("row", "n", "most", "comp")])
-        pairs = (
-            live.join(c, "bucket").where("comp <> c_comp AND n <= c_most AND c_n <= most")
-            .select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct()
-        )
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = store(pairs, "pairs")
-        found = store(_verify(pairs, facts), "links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
+        c = middle.select("bucket", *[F.col(x).alias(f"c_{x}") for x in ("row", "n", "most", "comp", "marks", "sig", "away")])
+        first_band = F.array_position(F.zip_with("marks", "c_marks", lambda x, y: x == y), True) == F.col("band") + 1
+        apart = F.coalesce(F.abs(F.col("away") - F.col("c_away")) > 1 - LINK_PERCENT / 100 + 1e-9, F.lit(False))
+        pairs = live.join(c, "bucket").where(F.expr("comp <> c_comp AND n <= c_most AND c_n <= most") & ~apart & first_band & _signatures_agree())
+        pairs = pairs.select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct()
+        seen_pairs = store(_verify(store(pairs, "pairs"), facts), "links")
+        found = seen_pairs.where("linked").select("a", "b")
         if not found.isEmpty():
             known = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
             labels = store(components(known), "labels")
-            links = found if links is None else links.unionByName(found)
-        open_ = store(live.drop("comp").join(middle.select("bucket", "row"), ["bucket", "row"], "left_anti"), "open")
-        centres *= 2
+        rest = live.drop("comp").join(middle.select("bucket", "row"), ["bucket", "row"], "left_anti")
+        if centres == 1:
+            far = seen_pairs.select("a", "b", "distance")
+            rest = rest.join(middle.select("bucket", F.col("row").alias("centre")), "bucket").withColumns({"a": F.least("row", "centre"), "b": F.greatest("row", "centre")})
+            rest = rest.join(far, ["a", "b"], "left").select(*[c for c in open_.columns if c != "away"], F.col("distance").alias("away"))
+        open_ = store(rest, "open")
+        centres *= CENTRE_GROWTH
     return seen, same, labels
 
 
 def _verify(pairs: DataFrame, facts: DataFrame) -> DataFrame:
-    """Pairs that pass the signatures, then the full sets."""
-    left = facts.select(F.col("row").alias("a"), F.col("sig").alias("sig_a"), F.col("shingles").alias("set_a"))
-    right = facts.select(F.col("row").alias("b"), F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b"))
-    equal = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    close = pairs.join(left, "a").join(right, "b").where(equal >= SIGNATURE_SHARE * len(_A))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return close.where(_linked(both, F.size("set_a"), F.size("set_b"))).select("a", "b")
+    """Pairs with the exact distance of their full sets and whether they are linked."""
+
+    sets = pairs
+    for end in "ab":
+        sets = sets.join(facts.select(F.col("row").alias(end), F.col("shingles").alias(f"shingles_{end}")), end)
+    both = F.size(F.array_intersect("shingles_a", "shingles_b"))
+    exact = sets.select("a", "b", both.alias("both"), F.size("shingles_a").alias("na"), F.size("shingles_b").alias("nb"))
+    distance = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
+    return exact.select("a", "b", distance.alias("distance"), _linked(F.col("both"), F.col("na"), F.col("nb")).alias("linked"))
 
 
 def near_groups(rows: DataFrame) -> DataFrame:

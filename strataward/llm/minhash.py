@@ -162,10 +162,11 @@ def near_links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]
     while not open_.isEmpty():
         live = store(_candidates(open_, labels), "live")
         middle = live.withColumn("at", F.row_number().over(W.partitionBy("bucket").orderBy("row"))).where(f"at <= {centres}").drop("at")
+        # centres are the smallest rows of a bucket, so c_row < row meets every pair once
         c = middle.select("bucket", *[F.col(x).alias(f"c_{x}") for x in ("row", "n", "most", "comp", "marks", "sig", "away")])
         first_band = F.array_position(F.zip_with("marks", "c_marks", lambda x, y: x == y), True) == F.col("band") + 1
         apart = F.coalesce(F.abs(F.col("away") - F.col("c_away")) > 1 - LINK_PERCENT / 100 + 1e-9, F.lit(False))
-        pairs = live.join(c, "bucket").where(F.expr("comp <> c_comp AND n <= c_most AND c_n <= most") & ~apart & first_band & _signatures_agree())
+        pairs = live.join(c, "bucket").where(F.expr("c_row < row AND comp <> c_comp AND n <= c_most AND c_n <= most") & ~apart & first_band & _signatures_agree())
         pairs = pairs.select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct()
         seen_pairs = store(_verify(store(pairs, "pairs"), facts), "links")
         found = seen_pairs.where("linked").select("a", "b")

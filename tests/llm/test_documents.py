@@ -403,3 +403,40 @@ def test_pipeline_stages(spark, docs, tmp_path):
 def test_no_frame_of_pandas_is_needed_for_empty_groups():
     out = repeats._locate_group(pd.DataFrame(columns=["shard", "first", "slack", "phrase"]), pd.DataFrame([(1, 1, 0, b"a b")], columns=["_row", "ord", "start", "words"]))
     assert len(out) == 0
+
+
+def passage_at_the_bound(rng, item, kind):
+    """The item with all its edits of one kind, at distinct places."""
+    k = contamination.bound_of(len(item))
+    new = rng.integers(1, 2**63, k, dtype=np.uint64)
+    if kind == "replaced":
+        said = item.copy()
+        said[rng.choice(len(item), k, replace=False)] = new
+        return said
+    if kind == "inserted":
+        return np.insert(item, 1 + rng.choice(len(item) - 1, k, replace=False), new)
+    return np.delete(item, rng.choice(len(item), k, replace=False))
+
+
+@pytest.mark.parametrize("kind", ["replaced", "inserted", "deleted"])
+@pytest.mark.parametrize("n, trials", [(5, 100), (15, 100), (40, 100), (59, 100), (150, 25), (300, 12), (600, 3)])
+def test_recall_at_the_bound_by_size_and_kind_of_edit(n, trials, kind):
+    rng = np.random.default_rng(n)
+    hits = 0
+    for _ in range(trials):
+        item = rng.integers(1, 2**63, n, dtype=np.uint64)
+        around = rng.integers(1, 2**63, (2, n), dtype=np.uint64)
+        said = np.concatenate((around[0, :20], passage_at_the_bound(rng, item, kind), around[1]))
+        hits += bool(contamination.find_leaks(said, contamination.Items([1], [item])))
+    assert hits >= 0.95 * trials
+
+
+def test_hash_plans_follow_the_recall_asked_for(spark, docs):
+    for n in (15, 40, 150):
+        assert contamination.hash_plan(n, 0.999)[1] != contamination.hash_plan(n, 0.5)[1]
+    assert contamination.hash_plan(4)[1] == 1 and contamination.hash_plan(5000) == (0, 0)
+    rng = random.Random(3)
+    text = words(rng, 15, "r")
+    benchmark = spark.createDataFrame([(1, " ".join(text))], "item_id long, text string")
+    got = contamination.decontaminate(docs([" ".join(text[:6] + text[9:])]), benchmark, recall=0.9999).collect()
+    assert [(r.item_id, r.edits) for r in got] == [(1, 3)]

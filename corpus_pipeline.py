@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataward.llm.common import prepare, store, table
 from strataward.llm.contamination import drop_leaks
 from strataward.llm.exact_dedup import drop_copies
-from strataward.llm.minhash import drop_near_copies
+from strataward.llm.minhash import STAGE_PERCENT, drop_near_copies
 from strataward.llm.packing import pack_documents
 from strataward.llm.toxicity import document_labels, drop_toxic
 
@@ -29,9 +29,9 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies (0.8 of similarity or more)."""
     prepare(spark)
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, STAGE_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

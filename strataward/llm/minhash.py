@@ -15,6 +15,7 @@ to their bucket's first centre differ by more than a link's distance.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +30,8 @@ from strataward.llm.words import lists, mix, run_hashes, slices, word_hashes
 
 SHINGLE = 5
 BANDS, BAND_ROWS = 20, 5
-LINK_PERCENT = 85
-# A pair at the link threshold is four standard deviations above this share of equal minima.
-SIGNATURE_SHARE = 0.70
+LINK_PERCENT = 85  # of op2_minhash_dedup
+STAGE_PERCENT = 80  # of a stage without a threshold of its own
 CENTRE_GROWTH = 32
 _RNG = np.random.Generator(np.random.PCG64(97))
 _A = _RNG.integers(1, 2**32, BANDS * BAND_ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -107,21 +107,27 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _linked(both: Column, na: Column, nb: Column) -> Column:
-    return 100 * both >= LINK_PERCENT * (na + nb - both)
+def _linked(both: Column, na: Column, nb: Column, percent: int) -> Column:
+    return 100 * both >= percent * (na + nb - both)
 
 
-def _signatures_agree() -> Column:
+def signature_share(percent: int) -> float:
+    """Share of equal minima, in hundredths, that a pair at the link threshold is 4.2 standard deviations above."""
+    p = percent / 100
+    return max(0, math.floor(percent - 420 * math.sqrt(p * (1 - p) / len(_A)))) / 100
+
+
+def _signatures_agree(percent: int) -> Column:
     """Whether enough minima of a member and a centre are equal, by their last 8 bits."""
     equal = F.aggregate(F.zip_with("sig", "c_sig", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return equal >= SIGNATURE_SHARE * len(_A)
+    return equal >= signature_share(percent) * len(_A)
 
 
 def _candidates(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Members of buckets that are not all in one component and may still find a partner there.
 
     A member with n shingles, of which c are shared with any other candidate, can only link
-    with sets of at most c * 185 / 85 - n shingles.
+    with sets of at most c * (100 + percent) / percent - n shingles.
     """
     if labels is None:
         label = members.withColumn("comp", F.col("row"))
@@ -133,8 +139,8 @@ def _candidates(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return able.join(mixed, "bucket")
 
 
-def near_links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """(figures per row, smallest row of each set, component of each linked row or None)."""
+def near_links(rows: DataFrame, percent: int = LINK_PERCENT) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(figures per row, smallest row of each set, component of each linked row or None); sets link from ``percent`` of similarity on."""
     texts = id_and_text(rows).select(ROW, "text")
     seen = store(texts.mapInArrow(_scan, f"{ROW} long, n long, same string, bands array<long>"), "minhash")
     same = store(seen.where("same IS NOT NULL").groupBy("same").agg(F.min(ROW).alias("row")), "members")
@@ -153,7 +159,7 @@ def near_links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]
     )
     n = F.size("shingles").cast("long")
     bound = sets.select("row", n.alias("n"), "marks", "sig").join(alone, "row", "left").select(
-        "row", "n", "marks", "sig", F.floor((F.col("n") - F.coalesce("alone", F.lit(0))) * (100 + LINK_PERCENT) / LINK_PERCENT - F.col("n")).alias("most")
+        "row", "n", "marks", "sig", F.floor((F.col("n") - F.coalesce("alone", F.lit(0))) * (100 + percent) / percent - F.col("n")).alias("most")
     )
     members = buckets.join(store(bound, "bounds"), "row").withColumn("away", F.lit(None).cast("double"))
     open_ = store(_candidates(members, None).drop("comp"), "open")
@@ -165,10 +171,10 @@ def near_links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]
         # centres are the smallest rows of a bucket, so c_row < row meets every pair once
         c = middle.select("bucket", *[F.col(x).alias(f"c_{x}") for x in ("row", "n", "most", "comp", "marks", "sig", "away")])
         first_band = F.array_position(F.zip_with("marks", "c_marks", lambda x, y: x == y), True) == F.col("band") + 1
-        apart = F.coalesce(F.abs(F.col("away") - F.col("c_away")) > 1 - LINK_PERCENT / 100 + 1e-9, F.lit(False))
-        pairs = live.join(c, "bucket").where(F.expr("c_row < row AND comp <> c_comp AND n <= c_most AND c_n <= most") & ~apart & first_band & _signatures_agree())
+        apart = F.coalesce(F.abs(F.col("away") - F.col("c_away")) > 1 - percent / 100 + 1e-9, F.lit(False))
+        pairs = live.join(c, "bucket").where(F.expr("c_row < row AND comp <> c_comp AND n <= c_most AND c_n <= most") & ~apart & first_band & _signatures_agree(percent))
         pairs = pairs.select(F.least("row", "c_row").alias("a"), F.greatest("row", "c_row").alias("b")).distinct()
-        seen_pairs = store(_verify(store(pairs, "pairs"), facts), "links")
+        seen_pairs = store(_verify(store(pairs, "pairs"), facts, percent), "links")
         found = seen_pairs.where("linked").select("a", "b")
         if not found.isEmpty():
             known = found if labels is None else found.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -183,7 +189,7 @@ def near_links(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]
     return seen, same, labels
 
 
-def _verify(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
     """Pairs with the exact distance of their full sets and whether they are linked."""
 
     sets = pairs
@@ -192,16 +198,16 @@ def _verify(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     both = F.size(F.array_intersect("shingles_a", "shingles_b"))
     exact = sets.select("a", "b", both.alias("both"), F.size("shingles_a").alias("na"), F.size("shingles_b").alias("nb"))
     distance = 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))
-    return exact.select("a", "b", distance.alias("distance"), _linked(F.col("both"), F.col("na"), F.col("nb")).alias("linked"))
+    return exact.select("a", "b", distance.alias("distance"), _linked(F.col("both"), F.col("na"), F.col("nb"), percent).alias("linked"))
 
 
-def near_groups(rows: DataFrame) -> DataFrame:
+def near_groups(rows: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """``_row``, ``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every keyed row.
 
     A null or blank text has an empty set and is linked with nothing. ``component_id`` is the
     smallest ``doc_id`` of the component; null ids come last. Of repeated rows one stays.
     """
-    seen, same, labels = near_links(rows)
+    seen, same, labels = near_links(rows, percent)
     classes = same.withColumnRenamed("row", "comp") if labels is None else (
         same.join(labels, same["row"] == labels["node"], "left").select("same", F.coalesce("component", "row").alias("comp"))
     )
@@ -215,12 +221,12 @@ def near_groups(rows: DataFrame) -> DataFrame:
     )
 
 
-def minhash_dedup(docs: DataFrame) -> DataFrame:
+def minhash_dedup(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` for every row of ``docs``; an empty table gives none."""
-    return near_groups(keyed(docs)).drop(ROW)
+    return near_groups(keyed(docs), percent).drop(ROW)
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
     """One document of each group of near copies, with the columns of ``docs``."""
     rows = keyed(docs)
-    return keep(rows, near_groups(rows).where("kept"))
+    return keep(rows, near_groups(rows, percent).where("kept"))

@@ -79,6 +79,18 @@ def test_minhash_empty_table_and_stage(docs):
     assert out.count() == len({c for _, _, c in brute_near(near_rows())})
 
 
+def test_stage_links_from_80_percent_on(spark, docs):
+    import corpus_pipeline
+
+    rows = []
+    for g, changed in enumerate([18, 22]):  # of 182 shingles each: 164 of 200 (0.82) and 160 of 204 (below 0.8) in common
+        base = [f"g{g}w{i}" for i in range(186)]
+        rows += [(10 * g, " ".join(base)), (10 * g + 1, " ".join(base[:-changed] + [f"g{g}x{i}" for i in range(changed)]))]
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs(rows), "").collect()} == {0, 10, 11}
+    assert all(r.kept for r in minhash.minhash_dedup(docs(rows)).collect())
+    assert (minhash.signature_share(85), minhash.signature_share(80)) == (0.70, 0.63)
+
+
 def test_signatures_estimate_jaccard():
     rng = np.random.default_rng(2)
     pool = rng.integers(0, 2**63, 3000, dtype=np.uint64)

@@ -37,7 +37,8 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a text are the
     ids of its words in order. ASCII letters are lower-cased first, as the tokenizer does
-    itself. Texts with a special token's string are encoded whole. The cache is bounded: when
+    itself. Texts with a special token's string, in whatever case, are encoded whole and as they
+    are: the tokenizer finds these before it lower-cases. The cache is bounded: when
     it is full, the words used since it was last cut stay.
     """
 
@@ -104,8 +105,9 @@ class WordEncoder:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        whole = [any(s in t for s in self.special) for t in texts]
-        said = [[] if w else t.lower().split() for t, w in zip(texts, whole)]
+        low = [t.lower() for t in texts]
+        whole = [any(s in t or s in x for s in self.special) for t, x in zip(texts, low)]
+        said = [[] if w else x.split() for x, w in zip(low, whole)]
         get = self.young.get
         missing = {w for words in said for w, ids in zip(words, map(get, words)) if ids is None}
         if missing:

@@ -179,6 +179,15 @@ def test_word_encoder_equals_the_tokenizer():
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [e.ids for e in want]
 
 
+def test_word_encoder_leaves_special_strings_of_other_case_as_text():
+    from tokenizers import Tokenizer
+
+    texts = ["a <|ENDOFTEXT|> b", "<|StartOfText|>", "x<|endOfText|><|endoftext|>Y", "<|ENDOFTEXT |>", "plain WORDS <|"]
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    got = packing.WordEncoder(packing.tokenizer_path()).ids([t.encode() for t in texts])
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("kind", ["even", "large", "small", "heavy"])
 def test_plan_places_every_piece_once(kind):
     rng = random.Random(kind)

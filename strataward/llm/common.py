@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ DOC = "_doc"
 WHITE = r"[\x20\x09-\x0D]+"
 # Rows of one Arrow batch to a Python worker: a few MB of ordinary documents.
 ARROW_ROWS = 512
+ARROW_TYPES = {"int": pa.int32(), "long": pa.int64(), "string": pa.string()}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -86,3 +89,34 @@ def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], buckets:
     starts = counts.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = dealt.withColumn("_at", F.row_number().over(W.partitionBy(*keys).orderBy(*order)) - 1)
     return inside.join(starts, keys).withColumn(name, (F.col("_start") + F.col("_at")).cast("long")).drop(cell, "_at", "_start")
+
+
+def placed(df: DataFrame, group: Sequence[str], cell: Column, order: Sequence[str], name: str) -> DataFrame:
+    """Number rows from 0 in their order inside each group; null groups are groups, null values come first.
+
+    ``cell`` cuts the order into ranges (it must not fall along ``order``): rows are numbered inside
+    a cell and each cell starts at the rows of the cells before it, so a long group is many tasks.
+    """
+    dealt = df.withColumn("_cell", cell)
+    counts = dealt.groupBy(*group, "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy(*group).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_cell").alias("_c"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = dealt.withColumn("_at", F.row_number().over(W.partitionBy(*group, "_cell").orderBy(*order)) - 1)
+    same = F.col("_cell").eqNullSafe(F.col("_c"))
+    for i, c in enumerate(group):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    return inside.join(starts, same).withColumn(name, (F.col("_start") + F.col("_at")).cast("long")).select(*df.columns, name)
+
+
+def streamed(df: DataFrame, read: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+    """Pass each partition's rows, in order, through a generator; neither side holds more than one Arrow batch."""
+    names, kinds = zip(*[f.split(" ") for f in schema.split(", ")])
+    types = [pa.list_(ARROW_TYPES[k[6:-1]]) if k.startswith("array<") else ARROW_TYPES[k] for k in kinds]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns]))
+        made = read(rows)
+        while part := list(islice(made, ARROW_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), types)], names=list(names))
+
+    return df.mapInArrow(run, schema)

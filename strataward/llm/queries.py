@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strataward.llm import check_sql
 from strataward.llm.common import prepare, table
 from strataward.plans.registry import Registry
 
@@ -122,6 +123,20 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(prepare(spark), sf_dir, "documents")).drop("kept_text")
 
 
+@REGISTRY.query("op12_token_counts")
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.token_counts import count_tokens, tokenizer_path
+
+    return count_tokens(table(prepare(spark), sf_dir, "documents"), tokenizer_path())
+
+
+@REGISTRY.query("op13_turn_repair", check_sql.turn_repair())
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.turn_repair import repair_turns
+
+    return repair_turns(table(prepare(spark), sf_dir, "conversations"))
+
+
 def all_queries() -> dict:
     return REGISTRY.queries
 

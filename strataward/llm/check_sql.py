@@ -78,3 +78,31 @@ def turn_repair() -> str:
     FROM (SELECT DISTINCT conv_id::BIGINT AS conv_id FROM conversations) o
     LEFT JOIN figures f ON f.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
     """
+
+
+def prefix_trie() -> str:
+    """The same trie from explicit beginnings: a list of turn names and sizes for each."""
+    return f"""
+    WITH t AS (
+      SELECT conv_id::BIGINT AS c, turn, octet_length(encode(coalesce("text", ''))) AS b,
+        sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce("text", '')) AS name
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), o AS (
+      SELECT c, list({{'name': name, 'b': b}} ORDER BY turn NULLS FIRST, name) AS l, {crc32("c::VARCHAR")} % 9 AS h FROM t GROUP BY c
+    ), r AS (
+      SELECT o.c, list_concat(coalesce(s.l[1:o.h], []), o.l[o.h + 1:]) AS l FROM o LEFT JOIN o s ON s.c = o.c - o.c % 5
+    ), m AS (
+      SELECT c, l[1:d] AS p, d, d = len(l) AS ends FROM (SELECT c, l, unnest(range(len(l) + 1)) AS d FROM r)
+    ), n AS (
+      SELECT p, d, min(c) AS c, count(*) AS n, CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * p[d].b END AS w,
+        sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS e
+      FROM m GROUP BY p, d
+    ), k AS (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1, 2
+    ), a AS (
+      SELECT p[1:x] AS p, x AS d, sum(w)::BIGINT AS saved, count(*) FILTER (kids IS NULL) AS leaves
+      FROM (SELECT n.p, n.w, k.kids, unnest(range(n.d + 1)) AS x FROM n LEFT JOIN k ON k.p = n.p AND k.d = n.d) GROUP BY 1, 2
+    )
+    SELECT n.c AS conv_id, n.d AS "depth", u.c AS parent_conv_id, n.n AS n_convs, coalesce(kids, 0) AS n_children, leaves AS n_leaves,
+      saved AS saved_tokens, n.e AS ends_sha256
+    FROM n JOIN a ON a.p = n.p AND a.d = n.d LEFT JOIN k ON k.p = n.p AND k.d = n.d LEFT JOIN n u ON u.d = n.d - 1 AND u.p = n.p[1:n.d - 1]
+    """

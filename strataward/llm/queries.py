@@ -123,6 +123,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(prepare(spark), sf_dir, "documents")).drop("kept_text")
 
 
+@REGISTRY.query("op11_prefix_trie", check_sql.prefix_trie())
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from strataward.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(prepare(spark), sf_dir, "conversations"))
+
+
 @REGISTRY.query("op12_token_counts")
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strataward.llm.token_counts import count_tokens, tokenizer_path

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataward.operators.dictionary import allocate_ids, empty_dictionary
@@ -151,15 +155,18 @@ def _stream(spark, d, name):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(d)
 
 
+def _orders_stream(spark, d):
+    return _stream(spark, d, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("ts_code"), F.date_format("o_orderdate", "yyyyMMdd").alias("trade_date"),
+        F.col("o_totalprice").alias("close"),
+    )
+
+
 def _ingest(spark, d):
     """Orders as a stream of files into a lake by year, with a watermark."""
     root = scratch_path(spark, "stream")
     spec = YEARLY.located(root)
-    source = _stream(spark, d, "orders").select(
-        "o_orderkey", F.col("o_custkey").alias("ts_code"), F.date_format("o_orderdate", "yyyyMMdd").alias("trade_date"),
-        F.col("o_totalprice").alias("close"),
-    )
-    stream_ingest(source, spec, f"{root}/progress", spec.keys, watermarks=f"{root}/marks").awaitTermination()
+    stream_ingest(_orders_stream(spark, d), spec, f"{root}/progress", spec.keys, watermarks=f"{root}/marks").awaitTermination()
     return spec, f"{root}/marks"
 
 
@@ -180,6 +187,40 @@ def _(spark, d):
     return load_watermarks(spark, _ingest(spark, d)[1]).select("dataset", "last_update_date", "record_count")
 
 
+class _Crash(Exception):
+    pass
+
+
+@query(
+    "stream_ingest_retry",
+    """SELECT step, n AS stored, last_update_date, n AS record_count
+    FROM (SELECT count(*) AS n, CAST(max(o_orderdate) AS DATE) AS last_update_date FROM orders), (SELECT unnest(['decided', 'folder', 'moved', 'staged', 'watermark']) AS step)""",
+)
+def _(spark, d):
+    """A crash at each step of a batch, then a second run: rows and watermark as after one run."""
+    out = []
+    for step in ("staged", "decided", "folder", "moved", "watermark"):
+        root = scratch_path(spark, "retry")
+        spec = YEARLY.located(f"{root}/lake")
+
+        def crash(at, step=step):
+            if at.startswith(step):
+                raise _Crash(at)
+
+        def run(watch, spec=spec, root=root):
+            stream_ingest(_orders_stream(spark, d), spec, f"{root}/progress", spec.keys, watermarks=f"{root}/marks", watch=watch).awaitTermination()
+
+        try:
+            run(crash)
+        except StreamingQueryException as e:
+            if "_Crash" not in str(e):
+                raise
+        run(None)
+        marks = load_watermarks(spark, f"{root}/marks").select("last_update_date", "record_count")
+        out.append(spark.read.parquet(spec.path).agg(F.count(F.lit(1)).alias("stored")).crossJoin(marks).withColumn("step", F.lit(step)))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("suppress_stream", _chain(30) + "SELECT alert_id, CAST(epoch_us(ts) AS BIGINT) AS us FROM fo WHERE (k, ts) IN (SELECT (k, ts) FROM ch)")
 def _(spark, d):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)

@@ -75,3 +75,36 @@ def file_count(spark: SparkSession, path: str) -> int:
     """Files below a path, hidden ones aside."""
     fs, Path = _fs(spark, path)
     return fs.getContentSummary(Path(path)).getFileCount()
+
+
+def files_in(spark: SparkSession, path: str, suffix: str) -> list[str]:
+    """Paths of the files directly in a folder whose names end so."""
+    fs, Path = _fs(spark, path)
+    if not fs.exists(Path(path)):
+        return []
+    return sorted(s.getPath().toString() for s in fs.listStatus(Path(path)) if s.isFile() and s.getPath().getName().endswith(suffix))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: it appears under its name when complete, in place of an earlier one."""
+    fs, Path = _fs(spark, path)
+    part = f"{path}.{uuid.uuid4().hex}.part"
+    out = fs.create(Path(part), True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(Path(part), Path(path), options)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, Path = _fs(spark, path)
+    stream = fs.open(Path(path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataward.functions.dates import iso
+from strataward.sources import journal
 from strataward.sources.catalog import NONE, YEAR, DatasetSpec
 
 
 def read_dataset(
     spark: SparkSession, spec: DatasetSpec | str, columns: list[str] | None = None, limit: int | None = None
 ) -> DataFrame:
-    """Lazy scan of a dataset or path; columns and limit reach the scan."""
-    df = spark.read.parquet(spec if isinstance(spec, str) else spec.path)
+    """Lazy scan of a dataset or path; columns and limit reach the scan.
+
+    A commit that was decided but not carried through is first put in place, so no half of it is read.
+    """
+    path = spec if isinstance(spec, str) else spec.path
+    journal.settle(spark, path)
+    df = spark.read.parquet(path)
     if columns is not None:
         df = df.select(*columns)
     return df if limit is None else df.limit(limit)

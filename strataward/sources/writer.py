@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataward.sources import fs
+from strataward.sources import fs, journal
 from strataward.sources.catalog import NONE, YEAR, YEAR_MONTH, DatasetSpec
 
 MAX_TOUCHED = 100_000  # partition folders one write may replace
@@ -105,22 +105,43 @@ def in_partitions(by: str, values: Sequence) -> Column:
     return here | F.col(by).isNull() if any(v is None for v in values) else here
 
 
+def stage_partitions(df: DataFrame, path: str, by: str, sort: Sequence[str] = (), lay_out: bool = True) -> str:
+    """Write partitions to a sibling folder of the dataset; returns it."""
+    staging = fs.staging_for(path)
+    out = _laid_out(df, [by], sort) if lay_out else df
+    out.write.option("compression", "zstd").partitionBy(by).parquet(staging)
+    return staging
+
+
 def rewrite_partitions(
     spark: SparkSession, df: DataFrame, path: str, by: str, sort: Sequence[str] = (), lay_out: bool = True
 ) -> list[str]:
     """Replace partitions with rows that were read from them.
 
-    The rows go to a sibling folder first; only complete folders are swapped in.
+    The rows go to a sibling folder first. All folders are one commit: after a crash the dataset is as it
+    was, or, once the commit is decided, the next call or ``read_dataset`` carries it through.
     """
-    staging = fs.staging_for(path)
-    out = _laid_out(df, [by], sort) if lay_out else df
-    out.write.option("compression", "zstd").partitionBy(by).parquet(staging)
-    moved = fs.child_folders(spark, staging)
-    for folder in moved:
-        fs.replace_folder(spark, f"{staging}/{folder}", f"{path}/{folder}")
-    fs.delete(spark, staging)
-    spark.catalog.refreshByPath(path)
-    return moved
+    record = journal.commit_folders(spark, path, stage_partitions(df, path, by, sort, lay_out))
+    journal.finish(spark, path, record)
+    return list(record.folders)
+
+
+def merged_rows(df: DataFrame, path: str, by: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The touched partitions after an upsert: stored and incoming rows, the latest of each key.
+
+    Latest is by ``order`` columns, then incoming over stored. Only touched partitions are read; rows
+    whose partition value is null are a partition like any other.
+    """
+    spark = df.sparkSession
+    _require(df, [by, *keys, *order])
+    newest = [F.col(c).desc_nulls_last() for c in order]
+    if not fs.has_parquet(spark, path):
+        return latest_per_key(df, [by, *keys], newest)
+    incoming = df.withColumn("_sw_new", F.lit(1))
+    stored = spark.read.parquet(path)
+    stored = stored.where(in_partitions(by, touched_values(df, by))).withColumn("_sw_new", F.lit(0))
+    both = stored.unionByName(incoming, allowMissingColumns=True)
+    return latest_per_key(both, [by, *keys], [*newest, F.col("_sw_new").desc()]).drop("_sw_new")
 
 
 def upsert_partitioned(
@@ -133,19 +154,8 @@ def upsert_partitioned(
 ) -> None:
     """Merge rows into their partitions: latest row per key wins, others stay.
 
-    Latest is by ``order`` columns, then incoming over stored. Keys must imply
-    the partition. Only touched partitions are read and rewritten; rows whose
-    partition value is null are a partition like any other.
+    Keys must imply the partition. Only touched partitions are read and rewritten, as one commit.
     """
     spark = df.sparkSession
-    _require(df, [by, *keys, *order])
-    newest = [F.col(c).desc_nulls_last() for c in order]
-    if not fs.has_parquet(spark, path):
-        write_partitioned(latest_per_key(df, [by, *keys], newest), path, [by], sort)
-        return
-    incoming = df.withColumn("_sw_new", F.lit(1))
-    stored = spark.read.parquet(path)
-    stored = stored.where(in_partitions(by, touched_values(df, by))).withColumn("_sw_new", F.lit(0))
-    both = stored.unionByName(incoming, allowMissingColumns=True)
-    merged = latest_per_key(both, [by, *keys], [*newest, F.col("_sw_new").desc()]).drop("_sw_new")
-    rewrite_partitions(spark, merged, path, by, sort)
+    journal.settle(spark, path)
+    rewrite_partitions(spark, merged_rows(df, path, by, keys, order), path, by, sort)

@@ -197,3 +197,59 @@ def test_stream_ingest_in_two_runs(spark, tmp_path):
     assert got == {("a", "20230105"): 9.0, ("b", "20230210"): 2.0, ("a", "20230301"): 3.0, ("c", "20221230"): 4.0}
     mark = load_watermarks(spark, f"{base}/marks").first()
     assert (str(mark["last_update_date"]), mark["record_count"]) == ("2023-03-01", 4)
+
+
+def test_crash_between_folders_is_made_good(spark, tmp_path, monkeypatch):
+    """A commit of three folders stopped after the first: readers of the dataset see all or nothing of it."""
+    from strataward.sources import journal
+
+    path = f"file://{tmp_path}/lake"
+    rows = lambda v: spark.createDataFrame([(y, f"k{y}", v) for y in (2020, 2021, 2022)], "year int, k string, v int")
+    W.upsert_partitioned(rows(1), path, "year", ["k"])
+    whole, moves = journal.fs.move, []
+
+    def stop(sp, src, dst):
+        if "__staging" in src and len(moves) == 1:
+            raise OSError("stopped")
+        whole(sp, src, dst)
+        if "__staging" in src:
+            moves.append(dst)
+
+    monkeypatch.setattr(journal.fs, "move", stop)
+    with pytest.raises(OSError):
+        W.upsert_partitioned(rows(2), path, "year", ["k"])
+    monkeypatch.setattr(journal.fs, "move", whole)
+    assert {r["v"] for r in read_dataset(spark, path).collect()} == {2}
+    assert read_dataset(spark, path).count() == 3 and journal.records(spark, path) == []
+
+    # a crash before the commit is decided: the old rows
+    monkeypatch.setattr(journal, "save", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        W.upsert_partitioned(rows(3), path, "year", ["k"])
+    assert {r["v"] for r in read_dataset(spark, path).collect()} == {2}
+
+
+@pytest.mark.parametrize("step", ["staged", "decided", "folder year_month=202301", "moved", "watermark"])
+def test_ingest_counts_a_batch_once(spark, tmp_path, step):
+    """Two rows stored; a batch of three is stopped at a step and comes again."""
+    from strataward.streaming.ingest import ingest_batch
+
+    base = f"file://{tmp_path}"
+    spec = DatasetSpec("bars", f"{base}/lake", YEAR_MONTH, "trade_date", ("ts_code",))
+    fields = "ts_code string, trade_date string, close double"
+    keys = ["ts_code", "trade_date"]
+    take = lambda rows, n, watch=None: ingest_batch(spark.createDataFrame(rows, fields), spec, None, keys, [], f"{base}/marks", "feed", n, watch)
+
+    def stop(at):
+        if at == step:
+            raise RuntimeError(at)
+
+    second = [("a", "20230105", 9.0), ("c", "20230106", 3.0), ("d", "20230301", 4.0)]
+    assert take([("a", "20230105", 1.0), ("b", "20230210", 2.0)], 0)
+    with pytest.raises(RuntimeError):
+        take(second, 1, stop)
+    take(second, 1)
+    assert not take(second, 1)
+    mark = load_watermarks(spark, f"{base}/marks").first()
+    assert (str(mark["last_update_date"]), mark["record_count"]) == ("2023-03-01", 4)
+    assert {(r["ts_code"], r["close"]) for r in spark.read.parquet(spec.path).collect()} == {("a", 9.0), ("b", 2.0), ("c", 3.0), ("d", 4.0)}

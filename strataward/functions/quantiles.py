@@ -1,31 +1,41 @@
 """Exact per-key quantiles that never hold one key's values in one task.
 
-The usual plan is Spark's ``percentile`` aggregate. For large groups: count rows
-per logarithmic value bucket, find the bucket of each wanted rank from the
-running counts, then look only inside those buckets.
+The usual plan is Spark's ``percentile`` aggregate. For large groups: radix selection on an
+order-preserving 64-bit form of the values. Each round counts rows by the next 12 bits below
+the prefixes that hold a wanted rank, so a prefix has at most 4096 counts, whatever the
+values are. A rank is found when its bucket holds one value only (a constant column: at once)
+or when the bucket is small enough for its values to be ranked in a task.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_column
+from strataward.session import stored_frame
 
-_STEP = math.log(1.001)  # each bucket spans 0.1 % of the value
-_SHIFT = 800_000  # above log(smallest double) / _STEP, keeps bucket numbers positive
-_END = 3_000_000  # bucket of infinity, beyond all finite ones; NaN comes last of all
+SHIFTS = (52, 40, 28, 16, 4, 0)  # bits left below the prefix after each round
+_LEAST = -1022  # exponent of the smallest normal double
 
 
-def value_bucket(value: Column) -> Column:
-    """Monotone bucket number of a double."""
-    magnitude = F.floor(F.ln(F.abs(value)) / _STEP) + _SHIFT
-    endless = F.abs(value) == float("inf")
-    finite = F.when(value == 0, F.lit(0)).otherwise(F.signum(value) * magnitude).cast("long")
-    return F.when(F.isnan(value), F.lit(2 * _END)).when(endless, F.signum(value).cast("long") * _END).otherwise(finite)
+def order_code(value: Column) -> Column:
+    """A long in the order of the doubles: sign, exponent and mantissa; NaN last, both zeros 0."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("double")
+    near = F.least(F.greatest(guess, F.lit(float(_LEAST))), F.lit(1023.0))
+    # the logarithm is rounded: correct it by one where the power lies on the wrong side
+    low = F.when((F.pow(F.lit(2.0), near) > size) & (near > _LEAST), near - 1).otherwise(near)
+    exponent = F.when((low < 1023) & (F.pow(F.lit(2.0), low + 1) <= size), low + 1).otherwise(low)
+    mantissa = ((size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**52).cast("long")
+    normal = (exponent - _LEAST + 1).cast("long") * (1 << 52) + mantissa
+    # below the normal doubles the step is even: the bits are the multiple of the smallest double
+    tiny = (size * 2.0**537 * 2.0**537).cast("long")
+    code = F.when(size == float("inf"), F.lit(2047 << 52)).when(size < 2.0**_LEAST, tiny).otherwise(normal)
+    return F.when(F.isnan(value), F.lit(2048 * (1 << 52) - 1)).when(value < 0, -code).otherwise(code)
 
 
 def key_quantiles(
@@ -49,21 +59,21 @@ def key_quantiles(
     if hot is None:
         return _grouped(data, keys, probs, names, method)
     if not hot.limit:
-        return _ranked(data, keys, probs, names, method, hot)
+        return _ranked(data, keys, probs, names, method, hot, policy.block_rows)
     # hot keys are few: their rows take the ranked plan, all others the aggregate
     large = hot.small(hot.table.select(KEY))
     keyed = data.withColumn(KEY, key_column(keys))
     cold = _grouped(keyed.join(large, KEY, "left_anti").select(*keys, "_v"), keys, probs, names, method)
     split = keyed.join(large, KEY, "left_semi").select(*keys, "_v")
-    return cold.unionByName(_ranked(split, keys, probs, names, method, hot))
+    return cold.unionByName(_ranked(split, keys, probs, names, method, hot, policy.block_rows))
 
 
 def ranked_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str], hot: Hot
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], names: Sequence[str], hot: Hot, policy: SkewPolicy = AUTO
 ) -> DataFrame:
     """Interpolated quantiles of large groups only."""
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    return _ranked(data, list(keys), probs, names, "cont", hot)
+    return _ranked(data, list(keys), probs, names, "cont", hot, policy.block_rows)
 
 
 def _grouped(data, keys, probs, names, method) -> DataFrame:
@@ -77,47 +87,64 @@ def _grouped(data, keys, probs, names, method) -> DataFrame:
     return data.groupBy(*keys).agg(*aggs)
 
 
-def _ranked(data, keys, probs, names, method, hot: Hot) -> DataFrame:
-    rows = data.select(key_column(keys).alias(KEY), "_v", value_bucket(F.col("_v")).alias("_b"))
-    hist = rows.groupBy(KEY, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    by_bucket = Window.partitionBy(KEY).orderBy("_b")
-    hist = hist.select(
-        KEY,
-        "_b",
-        (F.sum("_n").over(by_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")).alias("_before"),
-        "_n",
-        F.sum("_n").over(Window.partitionBy(KEY)).alias("_total"),
-    )
-
-    def ranks(i: int, p: float) -> list[Column]:
+def _wanted(total: Column, probs: Sequence[float], method: str) -> Column:
+    """The ranks that make each quantile: one, or the two around it with the share of the upper one."""
+    kinds = []
+    for i, p in enumerate(probs):
         if method == "disc":
-            at = F.greatest(F.ceil(F.col("_total") * p) - 1, F.lit(0))
-            return [F.struct(F.lit(i).alias("q"), F.lit(0).alias("hi"), at.cast("long").alias("rank"), F.lit(0.0).alias("frac"))]
-        pos = (F.col("_total") - 1) * F.lit(float(p))
-        frac = (pos - F.floor(pos)).alias("frac")
-        return [
-            F.struct(F.lit(i).alias("q"), F.lit(h).alias("hi"), f(pos).cast("long").alias("rank"), frac)
-            for h, f in ((0, F.floor), (1, F.ceil))
-        ]
-
-    every = F.array(*[r for i, p in enumerate(probs) for r in ranks(i, p)])
-    here = F.filter(
-        every, lambda r: (r["rank"] >= F.col("_before")) & (r["rank"] < F.col("_before") + F.col("_n"))
-    )
-    targets = hist.select(KEY, "_b", "_before", F.explode(here).alias("t")).select(
-        KEY, "_b", "t.q", "t.hi", "t.frac", (F.col("t.rank") - F.col("_before")).alias("_at")
-    )
+            at = F.greatest(F.ceil(total * p) - 1, F.lit(0)).cast("long")
+            kinds.append(F.struct(F.lit(i).alias("q"), F.lit(0).alias("hi"), at.alias("at"), F.lit(0.0).alias("frac")))
+            continue
+        pos = (total - 1) * F.lit(float(p))
+        for hi, edge in ((0, F.floor), (1, F.ceil)):
+            kinds.append(F.struct(F.lit(i).alias("q"), F.lit(hi).alias("hi"), edge(pos).cast("long").alias("at"), (pos - F.floor(pos)).alias("frac")))
+    return F.array(*kinds)
 
-    # few buckets per key survive; equal values are merged before they are ranked
-    near = rows.join(hot.small(targets.select(KEY, "_b").distinct()), [KEY, "_b"], "left_semi")
-    counts = near.groupBy(KEY, "_b", "_v").agg(F.count(F.lit(1)).alias("_m"))
-    upto = F.sum("_m").over(
-        Window.partitionBy(KEY, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counts = counts.withColumn("_upto", upto)
-    hit = targets.join(counts, [KEY, "_b"]).where(
-        (F.col("_at") >= F.col("_upto") - F.col("_m")) & (F.col("_at") < F.col("_upto"))
+
+def _narrowed(rows: DataFrame, wanted: DataFrame, prefix: Column, shift: int, hot: Hot) -> DataFrame:
+    """One round: the bucket under ``_b`` that holds each wanted rank, with its rows and its least and greatest value."""
+    hist = rows.groupBy(KEY, prefix.alias("_b"), F.shiftright("_c", shift).alias("_next")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
+    earlier = Window.partitionBy(KEY, "_b").orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    inside = hist.join(hot.small(wanted), [KEY, "_b"]).where((F.col("at") >= F.col("_before")) & (F.col("at") < F.col("_before") + F.col("_n")))
+    return inside.select(KEY, F.col("_next").alias("_b"), "q", "hi", "frac", (F.col("at") - F.col("_before")).alias("at"), "_n", "_low", "_high")
+
+
+def _found_values(data: DataFrame, probs: Sequence[float], method: str, hot: Hot, task_rows: int) -> DataFrame:
+    """``KEY``, ``q``, ``hi``, ``frac``, ``_v`` of every wanted rank."""
+    v = F.col("_v") + 0.0  # one zero
+    rows = data.select(KEY, v.alias("_v"), order_code(v).alias("_c"))
+    totals = rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("_total"))
+    wanted = totals.select(KEY, F.lit(0).cast("long").alias("_b"), F.inline(_wanted(F.col("_total"), probs, method)))
+    found, prefix = [], F.lit(0).cast("long")
+    for shift in SHIFTS:
+        reached = stored_frame(_narrowed(rows, wanted, prefix, shift, hot), "ranks")
+        single = F.col("_low").eqNullSafe(F.col("_high"))
+        found.append(reached.where(single).select(KEY, "q", "hi", "frac", F.col("_low").alias("_v")))
+        wanted = reached.where(~single)
+        largest = wanted.agg(F.max("_n")).first()[0]
+        if largest is None:
+            break
+        prefix = F.shiftright("_c", shift)
+        near = hot.small(wanted.select(KEY, "_b").distinct())
+        rows = rows.withColumn("_b", prefix).join(near, [KEY, "_b"], "left_semi").select(KEY, "_v", "_c")
+        if shift == SHIFTS[0]:
+            rows = stored_frame(rows, "near")  # later rounds don't read the source again
+        if largest <= task_rows:
+            counts = rows.groupBy(KEY, prefix.alias("_b"), "_v").agg(F.count(F.lit(1)).alias("_m"))
+            so_far = Window.partitionBy(KEY, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            hit = wanted.join(counts.withColumn("_upto", F.sum("_m").over(so_far)), [KEY, "_b"])
+            hit = hit.where((F.col("at") >= F.col("_upto") - F.col("_m")) & (F.col("at") < F.col("_upto")))
+            found.append(hit.select(KEY, "q", "hi", "frac", "_v"))
+            break
+        wanted = wanted.drop("_n", "_low", "_high")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _ranked(data, keys, probs, names, method, hot: Hot, task_rows: int) -> DataFrame:
+    hit = _found_values(data.select(key_column(keys).alias(KEY), "_v"), probs, method, hot, task_rows)
     cols = []
     for i, name in enumerate(names):
         low = F.max(F.when((F.col("q") == i) & (F.col("hi") == 0), F.col("_v")))

@@ -81,7 +81,7 @@ def outlier_bounds(df: DataFrame, columns: Sequence[str] | None = None, multipli
         q = key_quantiles(long, ["field"], "v", [0.25, 0.75], ["q1", "q3"], policy=BOUNDED)
     else:
         groups = Hot(0, len(columns), columns_table(df, columns))
-        q = ranked_quantiles(long, ["field"], "v", [0.25, 0.75], ["q1", "q3"], groups)
+        q = ranked_quantiles(long, ["field"], "v", [0.25, 0.75], ["q1", "q3"], groups, policy)
     reach = multiplier * (F.col("q3") - F.col("q1"))
     return q.where(F.col("q3") > F.col("q1")).select(
         "field", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper")

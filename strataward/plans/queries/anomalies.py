@@ -155,6 +155,20 @@ def _endless(spark, d, policy):
     return q.select("event_type", *[text(c).alias(c) for c in ("q1", "q2", "q9")])
 
 
+@query(
+    "key_quantiles_epoch",
+    """SELECT event_type, quantile_disc(s, 0.1) AS q1, quantile_disc(s, 0.5) AS q2, quantile_disc(s, 0.9) AS q9, 7.5::DOUBLE AS c1
+    FROM (SELECT event_type, CAST(epoch(ts) AS DOUBLE) AS s FROM events) GROUP BY event_type""",
+)
+def _(spark, d):
+    """Seconds since the epoch share their first bits, and a constant column all of them."""
+    e = X.table(spark, d, "events").select("event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), F.lit(7.5).alias("c"))
+    e = e.withColumn("s", F.col("us") / 1e6)
+    tight = SkewPolicy(mode="blocks", block_rows=16)
+    q = key_quantiles(e, ["event_type"], "s", [0.1, 0.5, 0.9], ["q1", "q2", "q9"], "disc", tight)
+    return q.join(key_quantiles(e, ["event_type"], "c", [0.5], ["c1"], "disc", tight), "event_type")
+
+
 @query("key_quantiles_endless", _ENDLESS)
 def _(spark, d):
     return _endless(spark, d, SkewPolicy())

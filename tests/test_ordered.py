@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataward.functions.ordered import ordered, with_index
-from strataward.functions.quantiles import key_quantiles, value_bucket
+from strataward.functions import quantiles
+from strataward.functions.quantiles import key_quantiles, order_code
 from strataward.functions.size import BOUNDED, SkewPolicy, empty_frame, find_hot, input_bytes
 from strataward.operators import anomaly as A
 from strataward.operators import repair as R
@@ -91,10 +92,44 @@ def test_quantiles_by_brute_force(series, method, policy):
         assert got[k] == pytest.approx([float(np.quantile(values, p, method=kind)) for p in probs], abs=1e-9)
 
 
-def test_value_bucket_is_monotone(spark):
-    values = sorted([-1e300, -5.0, -1e-300, 0.0, 1e-300, 1e-9, 0.999, 1.0, 1.0005, 2.0, 1e300])
-    buckets = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(value_bucket(F.col("v"))).collect()]
-    assert buckets == sorted(buckets)
+def test_order_code_is_the_order_of_doubles(spark):
+    rng = np.random.default_rng(5)
+    any_bits = rng.integers(-(2**63), 2**63, 3000, dtype=np.int64).view(np.float64)
+    powers = [s * f * 2.0**e for e in range(-1074, 1024, 7) for f in (1.0, 1 - 2**-53, 1 + 2**-52) for s in (1, -1)]
+    plain = [v for v in [*any_bits.tolist(), *powers, 0.0, -0.0, 5e-324, float("inf"), float("-inf")] if v == v]
+    got = {r[0]: r[1] for r in spark.createDataFrame([(v,) for v in plain], "v double").select("v", order_code(F.col("v"))).collect()}
+    for v, code in got.items():
+        bits = int(np.float64(abs(v)).view(np.int64))
+        assert code == (bits if v >= 0 else -bits)
+    nan = spark.range(1).select(order_code(F.lit(float("nan")))).first()[0]
+    assert nan > max(got.values())
+
+
+@pytest.mark.parametrize("kind", ["epoch", "constant", "two values", "shared prefix"])
+def test_rank_buckets_stay_small(spark, kind, monkeypatch):
+    """Hot key with values of one or two leading digits: no bucket over the limit is ever ranked in a task."""
+    n = 20_000
+    value = {
+        "epoch": F.col("id") + 1_700_000_000, "constant": F.lit(3.25), "two values": F.when(F.col("id") % 3 == 0, 1.0).otherwise(1.0 + 2**-52),
+        "shared prefix": 1.0 + F.col("id") * 2.0**-50,
+    }[kind].cast("double")
+    df = spark.range(n).select(F.lit("k").alias("k"), value.alias("v"))
+    sizes = []
+    plain = quantiles._narrowed
+
+    def watched(*a):
+        out = plain(*a)
+        sizes.append(out)
+        return out
+
+    monkeypatch.setattr(quantiles, "_narrowed", watched)
+    probs, names = [0.0, 0.25, 0.5, 1.0], list("abcd")
+    got = key_quantiles(df, ["k"], "v", probs, names, policy=SkewPolicy(mode="blocks", block_rows=500)).first()
+    want = np.quantile(np.array([r[0] for r in df.select("v").collect()]), probs)
+    assert [got[c] for c in names] == pytest.approx(list(want), abs=0, rel=1e-15)
+    last = sizes[-1].where("_low <> _high").agg(F.max("_n")).first()[0]
+    assert last is None or last <= 500
+    assert kind != "constant" or len(sizes) == 1
 
 
 def test_policy_measures(series, spark):

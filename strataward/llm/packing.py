@@ -14,6 +14,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,13 @@ from strataward.llm.words import slices
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 GROUP_WORDS = 64
 BUCKET_PIECES = 200_000
+NEAR_BYTES = 1 << 18
+TAIL = b".,"
+# Lead bytes of U+0300 to U+037F: only these marks compose with ASCII letters, and not always with both cases.
+COMBINING = (b"\xcc", b"\xcd")
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -37,16 +42,16 @@ class WordEncoder:
 
     The tokenizer drops white space and never joins across it, so the ids of a text are the
     ids of its words in order. ASCII letters are lower-cased first, as the tokenizer does
-    itself. Texts with a special token's string, in whatever case, are encoded whole and as they
-    are: the tokenizer finds these before it lower-cases. The cache is bounded: when
-    it is full, the words used since it was last cut stay.
+    itself. Texts with a special token's string, in whatever case, or with combining marks, are
+    encoded whole and as they are: the tokenizer finds special tokens, and composes, before it
+    lower-cases. The cache is bounded: when it is full, the words used since it was last cut stay.
     """
 
     def __init__(self, file: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -77,42 +82,57 @@ class WordEncoder:
             out += [whole[a:b] for a, b in zip([0, *cuts], cuts)]
         return out
 
+    def _known(self, words: set[bytes]) -> set[bytes]:
+        """Take what the old cache has over to the young one; returns the words still to learn."""
+        had = words & self.old.keys()
+        self.young.update(zip(had, map(self.old.__getitem__, had)))
+        return words - had
+
     def _learn(self, words: set[bytes]) -> None:
         """Get words into the young cache: from the old one, from a known stem, or from the tokenizer."""
-        ask: list[bytes] = []
+        words = self._known(words)
         tails: list[tuple[bytes, bytes, bytes]] = []
-        for w in words:
-            if (known := self.old.get(w)) is not None:
-                self.young[w] = known
-                continue
-            stem = w.rstrip(b".,")  # a run of these is one unit apart from the letters before it
-            if stem and stem != w and (stem[-1:].isalpha() or stem[-1] >= 0x80) and stem.isalpha():
+        for w in [w for w in words if w[-1] in TAIL]:
+            stem = w.rstrip(TAIL)  # a run of these is one unit apart from the letters before it
+            if stem.isalpha() or stem.decode().isalpha():
                 tails.append((w, stem, w[len(stem) :]))
-            else:
-                ask.append(w)
-        parts = {p for _, stem, tail in tails for p in (stem, tail) if p not in self.young}.difference(ask)
-        for p in list(parts):
-            if (known := self.old.get(p)) is not None:
-                self.young[p] = known
-                parts.discard(p)
-        ask += parts
-        plain = [w for w in ask if w.decode().isalpha()]
+        whole = words.difference([w for w, _, _ in tails])
+        parts = {p for _, stem, tail in tails for p in (stem, tail)}.difference(self.young, whole)
+        ask = list(whole | self._known(parts))
+        alpha = [w.isalpha() or w.decode().isalpha() for w in ask]
+        plain, rest = list(compress(ask, alpha)), [w for w, a in zip(ask, alpha) if not a]
         self.young.update(zip(plain, self._encode_plain(plain)))
-        rest = [w for w in ask if w not in self.young]
         self.young.update(zip(rest, self._encode(rest)))
-        for w, stem, tail in tails:
-            self.young[w] = self.young[stem] + self.young[tail]
+        get = self.young.__getitem__
+        self.young.update([(w, get(stem) + get(tail)) for w, stem, tail in tails])
+
+    def _cut(self, texts: list[bytes]) -> list[tuple[int, int]]:
+        """Runs of texts of about ``NEAR_BYTES``."""
+        ends = np.cumsum([len(t) for t in texts])
+        cuts, i = [], 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + NEAR_BYTES, side="right")))
+            cuts.append((i, j))
+            i = j
+        return cuts
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         low = [t.lower() for t in texts]
-        whole = [any(s in t or s in x for s in self.special) for t, x in zip(texts, low)]
+        whole = [any(s in x for s in self.special) or any(c in x for c in COMBINING) for x in low]
         said = [[] if w else x.split() for x, w in zip(low, whole)]
-        get = self.young.get
-        missing = {w for words in said for w, ids in zip(words, map(get, words)) if ids is None}
+        cuts = self._cut(low)
+        need = [set().union(*said[i:j]) for i, j in cuts]
+        missing = set().union(*[words.difference(self.young) for words in need])
         if missing:
             self._learn(missing)
-        out = [self._encode([t])[0] if w else b"".join(map(get, words)) for t, words, w in zip(texts, said, whole)]
+        out: list[bytes] = []
+        for (i, j), words in zip(cuts, need):
+            near = dict(zip(words, map(self.young.__getitem__, words)))  # small enough for the processor's cache
+            out += [b"".join(map(near.__getitem__, w)) for w in said[i:j]]
+        apart = [i for i, w in enumerate(whole) if w]
+        for i, own in zip(apart, self._encode([texts[i] for i in apart])):
+            out[i] = own
         if len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {}
         return out

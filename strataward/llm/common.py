@@ -39,6 +39,11 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def chosen(share: Column, *by: Column | str) -> Column:
+    """A hash sample of about the given share (0 to 1, not null) of rows; fine enough for one row in 10^18."""
+    return F.shiftrightunsigned(F.xxhash64(*by), 2) < (F.least(share.cast("double"), F.lit(1.0)) * 2.0**62).cast("long")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Columns ``_row`` (a unique long) and ``_doc`` (a struct of all columns of ``docs``).
 

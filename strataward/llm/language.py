@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataward.llm.common import chosen, store
 from strataward.llm.words import slices
 
 DIMENSIONS = 512
 FOLDS = 5
-MAX_TRAIN = 20_000  # training texts at most, about; chosen by a hash of the id
+MAX_TRAIN = 5_000  # training texts of a language at most, about; chosen by a hash of id and text
 ROWS = 4096  # letter vectors; letters beyond share them by their code
 NONE = "und"
 _tables: dict[str, np.ndarray] = {}
@@ -97,15 +98,29 @@ def fold() -> Column:
     return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")) % FOLDS, F.lit(0))
 
 
+def training_rows(known: DataFrame, max_train: int) -> DataFrame:
+    """About ``max_train`` rows of each language, by a hash of id and text; a rarer language keeps all its rows.
+
+    A language of which none is chosen (copies of one row) keeps all of them as well.
+    """
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    shares = store(counts.select("lang", (F.lit(float(max_train)) / F.col("n")).alias("share")), "language_shares")
+    # one row per language, as many as the prototypes that the driver gets
+    sample = known.join(F.broadcast(shares), "lang").where(chosen(F.col("share"), "doc_id", "text"))
+    left_out = shares.join(sample.select("lang").distinct(), "lang", "left_anti").select("lang")
+    names = [r["lang"] for r in left_out.collect()]
+    if names:
+        sample = sample.unionByName(known.where(F.col("lang").isin(names)).withColumn("share", F.lit(1.0)))
+    return sample.select("lang", "text")
+
+
 def prototypes(docs: DataFrame, max_train: int = MAX_TRAIN) -> tuple[list[str], np.ndarray]:
-    """Languages in order and their unit prototypes, learned from about ``max_train`` texts outside fold 0.
+    """Languages in order and their unit prototypes, learned from about ``max_train`` texts each outside fold 0.
 
     The sums are made in the tasks; the driver gets one vector per language.
     """
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 0))
-    n = known.select(F.count(F.lit(1))).first()[0]
-    share = min(1.0, max_train / max(n, 1))
-    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))).select("lang", "text")
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 0)).select("doc_id", "lang", "text")
+    sample = training_rows(known, max_train)
     sums = sample.mapInArrow(_bundle, "lang string, place int, value double").groupBy("lang", "place").agg(F.sum("value").alias("value"))
     rows = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("v")).orderBy("lang").collect()
     vectors = np.array([[x["value"] for x in r["v"]] for r in rows]).reshape(len(rows), DIMENSIONS)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataward.llm.common import ROW, id_and_text, keep, keyed
+from strataward.llm.common import ROW, chosen, id_and_text, keep, keyed
 from strataward.llm.words import lists, slices, word_features
 
 # Words here are runs of ASCII letters and digits and of bytes beyond ASCII.
@@ -165,19 +165,20 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
     """Fit on at most about ``t.max_rows`` labelled documents; None if there are none.
 
     ``labels`` has ``doc_id`` and one 0/1 column per category. Rows with a null are left out;
-    of repeated ids each category's largest label counts.
+    of repeated ids each category's largest label counts, and of the documents with one id one.
     """
     named = labels.groupBy(F.col("doc_id").alias("label_id")).agg(*[F.max(F.col(c).cast("double")).alias(c) for c in categories]).dropna()
     n = named.count()
     if not n:
         return None
-    share = min(1.0, t.max_rows / n)
-    sample = named.where(F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    sample = named.where(chosen(F.lit(t.max_rows / n), "label_id"))
     y = F.array(*categories).alias("y")
-    # a hash sample of max_rows ids: bounded, so it goes to every task and no text is shuffled
+    # a hash sample of max_rows ids: bounded, so it goes to every task; only texts of these ids are shuffled
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample.select("label_id", y)), F.col("doc_id") == F.col("label_id")
-    ).drop("label_id")
+    )
+    # one text per id, merged in the tasks: an id that many rows carry is one training row
+    rows = rows.groupBy("doc_id").agg(F.min_by(F.struct("y", "text"), F.xxhash64("text")).alias("one")).select("doc_id", "one.y", "one.text")
     sets = rows.mapInArrow(_word_sets, "doc_id long, y array<double>, words array<long>")
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:

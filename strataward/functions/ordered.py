@@ -24,8 +24,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_column
+from strataward.session import stored_frame
 
 BUCKETS_A_BLOCK, SAMPLE_A_BUCKET = 4, 64
+FANOUT = 256  # parts of a bucket on each level of the splitter tree
+BROADCAST_CUTS = 500_000
 BUCKET, INDEX, BLOCK, HALO, IS_HOT = "_sw_bucket", "_sw_index", "_sw_block", "_sw_halo", "_sw_hot"
 
 
@@ -150,34 +153,61 @@ def with_index(
     return df.withColumn(name, (F.row_number().over(window) - 1).cast("long"))
 
 
-def _cuts(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -> DataFrame:
-    """Cut points of each hot key: order tuples at even ranks of a sample, four buckets a block.
+def _sizes(hot: Hot, block_rows: int) -> DataFrame:
+    """Rows and wanted buckets of each hot key."""
+    buckets = F.ceil(F.col("_sw_n") * BUCKETS_A_BLOCK / block_rows).cast("long")
+    return hot.table.select(KEY, F.col("_sw_n").alias("_sw_n"), buckets.alias("_sw_nb"))
 
-    The sample is chosen by a hash and has about 64 rows a bucket, whatever the size of the
-    key, so buckets are even for any spread of values. Cuts only steer the work.
+
+def _cuts(rows: DataFrame, order_by: list[str], level: int) -> DataFrame:
+    """Cut points of each bucket of the level above: order tuples at even ranks of a hash sample.
+
+    A bucket is cut into ``FANOUT`` parts at most, from about 64 sampled rows a part, so no
+    array is longer than that, whatever the size of the key. Cuts only steer the work.
     """
-    buckets = F.ceil(F.col("_sw_n") * BUCKETS_A_BLOCK / block_rows)
-    share = F.least(F.lit(1.0), buckets * SAMPLE_A_BUCKET / F.col("_sw_n"))
-    sizes = hot.table.select(KEY, buckets.cast("int").alias("_sw_nb"), (share * (1 << 30)).cast("long").alias("_sw_share"))
-    chosen = F.pmod(F.xxhash64(KEY, *order_by), F.lit(1 << 30)) < F.col("_sw_share")
-    sampled = base.join(hot.small(sizes), KEY).groupBy(KEY).agg(
-        F.array_sort(F.collect_list(F.when(chosen, F.struct(*order_by)))).alias("_sw_s"), F.max("_sw_nb").alias("_sw_nb")
+    above = F.lit(float(FANOUT) ** level)
+    fan = F.least(F.ceil(F.col("_sw_nb") / above), F.lit(FANOUT)).cast("int")
+    share = F.least(F.lit(1.0), fan * SAMPLE_A_BUCKET * above / F.col("_sw_n"))
+    chosen = F.shiftrightunsigned(F.xxhash64(F.lit(level), KEY, *order_by), 2) < (share * 2.0**62).cast("long")
+    sampled = rows.where(F.col(IS_HOT) & (fan > 1) & chosen).groupBy(KEY, BUCKET).agg(
+        F.array_sort(F.collect_list(F.struct(*order_by))).alias("_sw_s"), F.max(fan).alias("_sw_fan")
     )
-    at = lambda i: F.get("_sw_s", F.floor(F.size("_sw_s") * i / F.col("_sw_nb")).cast("int"))
-    steps = F.filter(F.sequence(F.lit(0), F.col("_sw_nb") - 1), lambda i: i > 0)
-    cuts = F.array_distinct(F.filter(F.transform(steps, at), lambda c: c.isNotNull()))
-    return sampled.select(KEY, cuts.alias("_sw_cuts"))
+    at = lambda i: F.get("_sw_s", F.floor(F.size("_sw_s") * i / F.col("_sw_fan")).cast("int"))
+    steps = F.filter(F.sequence(F.lit(0), F.col("_sw_fan") - 1), lambda i: i > 0)
+    return sampled.select(KEY, BUCKET, F.array_distinct(F.transform(steps, at)).alias("_sw_cuts"))
 
 
 def _cuts_below(cuts: Column, value: Column) -> Column:
-    """How many of the sorted cuts are below a value, by halving steps."""
-    steps = F.array(*[F.lit(1 << b) for b in range(20, -1, -1)])
+    """How many of the sorted cuts (fewer than ``FANOUT``) are below a value, by halving steps."""
+    steps = F.array(*[F.lit(FANOUT >> b) for b in range(1, FANOUT.bit_length())])
 
     def step(found: Column, s: Column) -> Column:
         here = F.get(cuts, found + s - 1)
         return F.when(F.coalesce(here < value, F.lit(False)), found + s).otherwise(found)
 
-    return F.aggregate(steps, F.lit(0), step)
+    return F.coalesce(F.aggregate(steps, F.lit(0), step), F.lit(0))
+
+
+def _bucketed(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -> DataFrame:
+    """Rows with the bucket of their hot key, numbered along the order; 0 for all others.
+
+    Splitters are a tree of rows, not an array per key: each level cuts the buckets of the one above,
+    and a row's bucket is its path. One level does for 256 buckets, three for 16 million.
+    """
+    sizes = _sizes(hot, block_rows)
+    found = sizes.agg(F.max("_sw_nb").alias("most"), F.sum("_sw_nb").alias("all")).first()
+    most, total = found["most"] or 1, found["all"] or 0
+    small = F.broadcast if hot.count is not None and total <= BROADCAST_CUTS else (lambda df: df)
+    rows = base.join(hot.small(sizes), KEY, "left").withColumns({IS_HOT: F.col("_sw_nb").isNotNull(), BUCKET: F.lit(0).cast("long")})
+    level = 0
+    while level == 0 or FANOUT**level < most:
+        cuts = _cuts(rows, order_by, level)
+        if FANOUT < most:
+            cuts = stored_frame(cuts, "cuts")  # levels below read this one again
+        rows = rows.join(small(cuts), [KEY, BUCKET], "left")
+        rows = rows.withColumn(BUCKET, F.col(BUCKET) * FANOUT + _cuts_below(F.col("_sw_cuts"), F.struct(*order_by))).drop("_sw_cuts")
+        level += 1
+    return rows.drop("_sw_n", "_sw_nb")
 
 
 def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:
@@ -185,11 +215,7 @@ def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:
     block_rows = max(policy.block_rows, hot.limit, halo + 1)
     base = df.withColumn(KEY, key_column(keys))
     order = F.struct(*order_by)
-    wide = _cuts(base, order_by, hot, block_rows)
-    bucket = F.when(F.col("_sw_cuts").isNull(), F.lit(0)).otherwise(_cuts_below(F.col("_sw_cuts"), order))
-    rows = base.join(hot.small(wide), KEY, "left").withColumns(
-        {BUCKET: bucket.cast("long"), IS_HOT: F.col("_sw_cuts").isNotNull()}
-    )
+    rows = _bucketed(base, order_by, hot, block_rows)
 
     summary = (
         rows.where(F.col(IS_HOT))

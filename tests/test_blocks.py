@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataward import session
-from strataward.functions.ordered import BLOCK, ordered, with_index
+from strataward.functions import ordered as ordered_module
+from strataward.functions.ordered import BLOCK, BUCKET, _bucketed, ordered, with_index
 from strataward.functions.quantiles import key_quantiles
-from strataward.functions.size import SkewPolicy
+from strataward.functions.size import KEY, SkewPolicy, find_hot, key_column
 
 SPLIT = SkewPolicy(mode="blocks", block_rows=100)
 
@@ -27,15 +28,36 @@ def test_buckets_are_even_for_any_order(spark, kind):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     blocks = ordered(df, ["k"], ["o", "id"], halo=1, policy=SPLIT).df.groupBy(BLOCK).count().collect()
     assert len(blocks) in (40, 41) and max(r["count"] for r in blocks) <= 2 * 100
-    from strataward.functions.ordered import _cuts, _cuts_below
-    from strataward.functions.size import KEY, find_hot, key_column
-
     hot = find_hot(df, ["k"], SPLIT)
-    base = df.withColumn(KEY, key_column(["k"]))
-    cut = base.join(_cuts(base, ["o", "id"], hot, 100), KEY).groupBy(_cuts_below(F.col("_sw_cuts"), F.struct("o", "id")).alias("b")).count().collect()
+    cut = _bucketed(df.withColumn(KEY, key_column(["k"])), ["o", "id"], hot, 100).groupBy(BUCKET).count().collect()
     assert len(cut) > 100 and max(r["count"] for r in cut) <= 100
 
 
+def test_splitter_tree_of_a_hundred_thousand_buckets(spark, monkeypatch):
+    """One key with 100 000 buckets: three levels, no row of cuts or samples over a megabyte, exact positions."""
+    n = 100_000
+    df = spark.range(n).select(F.lit("k").alias("k"), (F.col("id") * 7919 % n).alias("o"))
+    tables = []
+    plain = ordered_module._cuts
+
+    def watched(rows, order_by, level):
+        out = plain(rows, order_by, level)
+        tables.append(out)
+        return out
+
+    monkeypatch.setattr(ordered_module, "_cuts", watched)
+    got = with_index(df, ["k"], ["o"], policy=SkewPolicy(mode="blocks", block_rows=4))
+    assert got.where("o <> row_index").count() == 0 and got.count() == n
+    assert len(tables) == 3
+    for t in tables:
+        assert t.agg(F.max(F.length(F.to_json("_sw_cuts")))).first()[0] < 1 << 20
+        assert t.agg(F.max(F.size("_sw_cuts"))).first()[0] < 256
+    hot = find_hot(df, ["k"], SkewPolicy(mode="blocks"))
+    sizes = _bucketed(df.withColumn(KEY, key_column(["k"])), ["o"], hot, 4).groupBy(BUCKET).count()
+    worst, number = sizes.agg(F.max("count"), F.count(F.lit(1))).first()
+    assert worst <= 40 and number > n / 4
+
+
 def test_quantiles_agree_on_nan_and_infinity(spark):
     rows = [("a", float("nan")), ("a", float("inf")), ("a", 1.0), ("a", float("-inf")), ("a", 2.0), ("b", None), ("b", 5.0)]
     df = spark.createDataFrame(rows, "k string, v double")

@@ -21,11 +21,12 @@ def record_rows(rows: DataFrame, path: str, keys: Sequence[str]) -> None:
     upsert_partitioned(rows.withColumn(DAY, F.date_format("ts", "yyyyMMdd").cast("int")), path, DAY, keys, (), ["ts"])
 
 
-def load_rows(spark: SparkSession, path: str, first_day: str | None = None) -> DataFrame:
-    """The stored rows, from a day on if one is given (``yyyy-mm-dd``); whole folders are skipped."""
+def load_rows(spark: SparkSession, path: str, first_day: str | None = None, last_day: str | None = None) -> DataFrame:
+    """The stored rows, from a day and up to a day if given (``yyyy-mm-dd``); other folders are not read."""
     stored = spark.read.parquet(path)
-    if first_day is not None:
-        stored = stored.where(F.col(DAY) >= int(first_day.replace("-", "")))
+    for day, keep in ((first_day, F.col(DAY).__ge__), (last_day, F.col(DAY).__le__)):
+        if day is not None:
+            stored = stored.where(keep(int(day.replace("-", ""))))
     return stored.drop(DAY)
 
 
@@ -43,15 +44,21 @@ def record_metrics(metrics: DataFrame, path: str) -> None:
 def raise_alerts(alerts: DataFrame, path: str, keys: Sequence[str] = KEYS, window_minutes: int = WINDOW_MINUTES) -> None:
     """Store the alerts that are not suppressed, by each other or by stored ones, as not acknowledged.
 
-    Alerts of a key come in the order of their times from call to call.
+    Stored alerts are facts: none is judged again, whatever comes later. A late alert is held
+    against those up to its own time. Only the days from a window before the oldest
+    to the newest of the given alerts are read.
     """
     spark = alerts.sparkSession
     fresh = alerts.withColumn("acknowledged", F.lit(False))
     if fs.has_parquet(spark, path):
-        stored = load_rows(spark, path)
+        span = fresh.agg(
+            F.date_format(F.min(F.col("ts") - F.expr(f"INTERVAL {int(window_minutes)} MINUTES")), "yyyy-MM-dd").alias("first"), F.date_format(F.max("ts"), "yyyy-MM-dd").alias("last")
+        ).first()
+        stored = load_rows(spark, path, span["first"], span["last"])
+        if span["first"] is None:  # no alert has a time
+            stored = spark.read.parquet(path).where(F.col(DAY).isNull()).drop(DAY)
         new = fresh.join(stored.select("alert_id"), "alert_id", "left_anti").select(*stored.columns)
-        emitted = suppress_alerts(stored.unionByName(new), keys, window_minutes)
-        emitted = emitted.join(stored.select("alert_id"), "alert_id", "left_anti")
+        emitted = suppress_alerts(new, keys, window_minutes, emitted=stored)
     else:
         emitted = suppress_alerts(fresh, keys, window_minutes)
     record_rows(emitted, path, ["alert_id"])

@@ -266,6 +266,37 @@ def _(spark, d):
     return G.load_rows(spark, _raised(spark, d))
 
 
+_K = "alert_type || '|' || dataset || '|' || severity"
+_LATE = X.with_views("alert_feed", recursive=True, extra=f"""al AS (SELECT *, {_K} AS k, CAST(substr(alert_id, 2) AS BIGINT) % 2 = 0 AS even FROM alert_feed),
+ nx AS (SELECT k, ts, min(ts) OVER (PARTITION BY k ORDER BY ts RANGE BETWEEN INTERVAL 30 MINUTE FOLLOWING AND UNBOUNDED FOLLOWING) AS nt FROM al WHERE even),
+ fa(k, ts) AS (SELECT k, min(ts) FROM al WHERE even GROUP BY k UNION ALL SELECT nx.k, nx.nt FROM fa JOIN nx ON fa.k = nx.k AND fa.ts = nx.ts WHERE nx.nt IS NOT NULL),
+ od AS (SELECT al.*, coalesce((SELECT max(fa.ts) FROM fa WHERE fa.k = al.k AND fa.ts <= al.ts), TIMESTAMP '1900-01-01') AS seed FROM al WHERE NOT even),
+ ox AS (SELECT k, seed, ts, min(ts) OVER (PARTITION BY k, seed ORDER BY ts RANGE BETWEEN INTERVAL 30 MINUTE FOLLOWING AND UNBOUNDED FOLLOWING) AS nt FROM od),
+ oc(k, seed, ts) AS (SELECT k, seed, min(ts) FROM od WHERE ts >= seed + INTERVAL 30 MINUTE GROUP BY k, seed
+  UNION ALL SELECT ox.k, ox.seed, ox.nt FROM oc JOIN ox ON oc.k = ox.k AND oc.seed = ox.seed AND oc.ts = ox.ts WHERE ox.nt IS NOT NULL)""") + """
+ SELECT alert_id, alert_type, dataset, severity, ts, false AS acknowledged FROM al WHERE even AND (k, ts) IN (SELECT (k, ts) FROM fa)
+ UNION ALL SELECT alert_id, alert_type, dataset, severity, ts, false FROM od WHERE (k, seed, ts) IN (SELECT (k, seed, ts) FROM oc)"""
+
+
+@query("raise_alerts_late", _LATE)
+def _(spark, d):
+    """Every other alert comes late, in among those that are stored, and then all come once more."""
+    path = scratch_path(spark, "late")
+    even = F.substring("alert_id", 2, 20).cast("long") % 2 == 0
+    feed = X.alert_feed(spark, d)
+    for part in (feed.where(even), feed.where(~even), feed):
+        G.raise_alerts(part, path)
+    return G.load_rows(spark, path)
+
+
+@query("suppress_alerts_dense", _chain(1, where="WHERE ts < TIMESTAMP '2024-01-08'").replace(_K, "''") + _EMITTED)
+def _(spark, d):
+    """One key with all alerts and a window of a minute, in blocks of 16 instants."""
+    week = X.alert_feed(spark, d).where(F.col("ts") < F.lit("2024-01-08").cast("timestamp_ntz"))
+    one = week.withColumn("one", F.lit(1))
+    return suppress_alerts(one, ["one"], 1, policy=SkewPolicy(mode="blocks", block_rows=16), block_rows=16).drop("one")
+
+
 @query("acknowledge_alerts", _RAISED.format(flag="CAST(substr(alert_id, 2) AS BIGINT) % 3 = 0"))
 def _(spark, d):
     path = _raised(spark, d)

@@ -1,4 +1,4 @@
-"""Streaming alert suppression with the last emission per key as state."""
+"""Streaming alert suppression with the last emission per key as state, and timers that end it."""
 
 from __future__ import annotations
 
@@ -12,45 +12,64 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from strataward.operators.suppression import KEYS, NEVER, WINDOW_MINUTES, emitted_positions
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+LATENESS = "10 minutes"
 
 
 class _LastEmission(StatefulProcessor):
-    """One long per key. It is kept without expiry: keys are datasets, so few."""
+    """One long per key, from an emission until the watermark has passed its window."""
 
-    def __init__(self, window_us: int):
+    def __init__(self, window_us: int, columns: Sequence[str]):
         self.window_us = window_us
+        self.columns = list(columns)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last_us", "us long")
 
+    def _ends(self, last: int) -> int:
+        return (last + self.window_us) // 1000 + 1
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         held = self.last.get() if self.last.exists() else None
         last = NEVER if held is None else int(held[0])
-        # only instants and ids of this micro-batch are held
-        batch = pd.concat([p[["us", "alert_id"]] for p in rows]).sort_values(["us", "alert_id"])
-        batch = batch.drop_duplicates("us")
-        keep = emitted_positions(batch["us"].to_numpy(), self.window_us, last)
-        if keep:
-            out = batch.iloc[keep]
-            self.last.update((int(out["us"].iloc[-1]),))
-            yield pd.DataFrame({"k": key[0], "alert_id": out["alert_id"].to_numpy(), "us": out["us"].to_numpy()})
+        # rows that can still be emitted, one for each instant of a part
+        parts = [p[p["sw_us"] >= last + self.window_us].sort_values(["sw_us", "alert_id"]).drop_duplicates("sw_us") for p in rows if len(p)]
+        if not parts:
+            return
+        batch = pd.concat(parts).sort_values(["sw_us", "alert_id"]).drop_duplicates("sw_us")
+        keep = emitted_positions(batch["sw_us"].to_numpy(), self.window_us, last)
+        if not keep:
+            return
+        out = batch.iloc[keep]
+        newest = int(out["sw_us"].iloc[-1])
+        if held is not None:
+            self.handle.deleteTimer(self._ends(last))
+        self.handle.registerTimer(self._ends(newest))
+        self.last.update((newest,))
+        yield out[self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def suppress_stream(alerts: DataFrame, keys: Sequence[str] = KEYS, window_minutes: int = WINDOW_MINUTES) -> DataFrame:
-    """Emitted alerts of a stream: key text, alert id and microseconds.
+def suppress_stream(alerts: DataFrame, keys: Sequence[str] = KEYS, window_minutes: int = WINDOW_MINUTES, lateness: str = LATENESS) -> DataFrame:
+    """Emitted alerts of a stream, with all their columns.
 
-    Alerts of a key must not arrive later than a newer one that was emitted. The
-    session needs the RocksDB state store (``STATE_STORE``).
+    The state of a key ends when the watermark (the newest time, less ``lateness``) has passed the window of its last
+    emission, so it holds only keys with a recent alert. Late alerts: one from before the last
+    emission of its key, or less than the window after it, is dropped; so is one older than the
+    watermark. Alerts without a time are all emitted. The session needs the RocksDB state store (``STATE_STORE``).
     """
-    keyed = alerts.select(
-        F.to_json(F.struct(*keys)).alias("k"), "alert_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")
+    columns = alerts.columns
+    # names without an underscore in front: the stateful worker renames such columns
+    dated = alerts.where(F.col("ts").isNotNull()).select(
+        "*", F.to_json(F.struct(*keys)).alias("sw_key"), F.unix_micros(F.col("ts").cast("timestamp")).alias("sw_us"), F.col("ts").cast("timestamp").alias("sw_at")
     )
-    return keyed.groupBy("k").transformWithStateInPandas(
-        statefulProcessor=_LastEmission(window_minutes * 60_000_000),
-        outputStructType="k string, alert_id string, us long",
-        outputMode="append",
-        timeMode="none",
+    emitted = dated.withWatermark("sw_at", lateness).groupBy("sw_key").transformWithStateInPandas(
+        statefulProcessor=_LastEmission(window_minutes * 60_000_000, columns), outputStructType=alerts.schema, outputMode="append", timeMode="eventTime",
     )
+    return emitted.select(*columns).unionByName(alerts.where(F.col("ts").isNull()))

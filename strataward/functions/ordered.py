@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_column
+from strataward.functions.size import AUTO, BROADCAST_KEYS, KEY, Hot, SkewPolicy, find_hot, key_column
 from strataward.session import stored_frame
 
 BUCKETS_A_BLOCK, SAMPLE_A_BUCKET = 4, 64
@@ -189,16 +189,22 @@ def _cuts_below(cuts: Column, value: Column) -> Column:
 
 
 def _bucketed(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -> DataFrame:
-    """Rows with the bucket of their hot key, numbered along the order; 0 for all others.
+    """Rows with the bucket of their hot key, numbered along the order; 0 for all others."""
+    return split_along(base, order_by, _sizes(hot, block_rows), hot.count).drop("_sw_n", "_sw_nb")
+
+
+def split_along(base: DataFrame, order_by: list[str], sizes: DataFrame, count: int | None) -> DataFrame:
+    """Rows of the keys in ``sizes`` (``KEY``, ``_sw_n`` rows, ``_sw_nb`` buckets wanted) in even buckets along an order.
 
     Splitters are a tree of rows, not an array per key: each level cuts the buckets of the one above,
-    and a row's bucket is its path. One level does for 256 buckets, three for 16 million.
+    and a row's bucket is its path. One level does for 256 buckets, three for 16 million. ``count``: the
+    number of keys where it is known, which decides about broadcasts.
     """
-    sizes = _sizes(hot, block_rows)
     found = sizes.agg(F.max("_sw_nb").alias("most"), F.sum("_sw_nb").alias("all")).first()
     most, total = found["most"] or 1, found["all"] or 0
-    small = F.broadcast if hot.count is not None and total <= BROADCAST_CUTS else (lambda df: df)
-    rows = base.join(hot.small(sizes), KEY, "left").withColumns({IS_HOT: F.col("_sw_nb").isNotNull(), BUCKET: F.lit(0).cast("long")})
+    few = count is not None and count <= BROADCAST_KEYS
+    wide, small = (F.broadcast if few else (lambda df: df)), (F.broadcast if few and total <= BROADCAST_CUTS else (lambda df: df))
+    rows = base.join(wide(sizes), KEY, "left").withColumns({IS_HOT: F.col("_sw_nb").isNotNull(), BUCKET: F.lit(0).cast("long")})
     level = 0
     while level == 0 or FANOUT**level < most:
         cuts = _cuts(rows, order_by, level)
@@ -207,7 +213,7 @@ def _bucketed(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -
         rows = rows.join(small(cuts), [KEY, BUCKET], "left")
         rows = rows.withColumn(BUCKET, F.col(BUCKET) * FANOUT + _cuts_below(F.col("_sw_cuts"), F.struct(*order_by))).drop("_sw_cuts")
         level += 1
-    return rows.drop("_sw_n", "_sw_nb")
+    return rows
 
 
 def _blocks(df, keys, order_by, fill, halo, policy, hot: Hot) -> Ordered:

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strataward.functions.ordered import BUCKET, split_along
+from strataward.functions.size import BROADCAST_KEYS, KEY
+from strataward.session import stored_frame
 from strataward.sources import fs
 from strataward.sources.catalog import NONE, DatasetSpec
 from strataward.sources.files import partition_files, partition_sizes, storage_efficiency
-from strataward.sources.writer import MAX_TOUCHED, NULL_FOLDER, in_partitions, rewrite_partitions, write_dataset
+from strataward.sources.writer import MAX_TOUCHED, in_partitions, rewrite_partitions, write_dataset
 
 MB = 1024 * 1024
 
@@ -50,23 +53,36 @@ def compact_small(
 def compact_to_target(
     spark: SparkSession, path: str, by: str, sort: Sequence[str] = (), target_mb: float = 100.0
 ) -> list[str]:
-    """Rewrite each partition as max(1, floor(bytes / target)) files."""
-    plan = {}
-    for r in _folders(partition_sizes(partition_files(spark, path))):
-        wanted = max(1, int(r["size_bytes"] // (target_mb * MB)))
-        if wanted != r["file_count"]:
-            plan[NULL_FOLDER if r["value"] is None else r["value"]] = wanted
-    if not plan:
+    """Rewrite each partition as max(1, floor(bytes / target)) files that follow each other along ``sort``.
+
+    Small partitions are joined to one file and large ones split. Cut points come from a sample per
+    partition, so the files of a partition are even and their key ranges do not overlap. Equal keys are told
+    apart by a hash of the row, so that a key with most of the rows is split too; files then
+    share that key. Each file is one task. A partition that has its number of files already is left alone.
+    """
+    wanted = F.greatest(F.floor(F.col("size_bytes") / (target_mb * MB)), F.lit(1)).cast("long")
+    plan = partition_sizes(partition_files(spark, path)).withColumn("files", wanted).where("files <> file_count")
+    plan = stored_frame(plan.select("partition", "value", "files"), "file_plan")
+    folders = _folders(plan)
+    if not folders:
         return []
-    files = F.create_map(*[F.lit(x) for kv in plan.items() for x in kv])
-    rows = _stored(spark, path, by, [None if v == NULL_FOLDER else v for v in plan])
-    # spread each partition over its own number of tasks
-    slot = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns if c != by]), files[F.coalesce(F.col(by).cast("string"), F.lit(NULL_FOLDER))])
-    order = [by, *[c for c in sort if c in rows.columns and c != by]]
-    n = sum(plan.values())
-    tasks = n if n > 64 else 4 * n  # with few files, room to keep two of them out of one task
-    spread = rows.withColumn("_sw_slot", slot).repartition(tasks, by, "_sw_slot")
-    return rewrite_partitions(spark, spread.sortWithinPartitions(*order).drop("_sw_slot"), path, by, sort, lay_out=False)
+    stored = spark.read.parquet(path)
+    kind = stored.schema[by].dataType
+    rows = _stored(spark, path, by, [r["value"] for r in folders])
+    counts = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_sw_n"))  # from file footers
+    files = plan.select(F.col("value").cast(kind).alias("_sw_value"), F.col("files").alias("_sw_nb"))
+    sizes = counts.join(files, F.col(by).eqNullSafe(F.col("_sw_value"))).select(F.struct(by).alias(KEY), "_sw_n", "_sw_nb")
+    order = [c for c in sort if c in rows.columns and c != by]
+    keyed = rows.withColumns({KEY: F.struct(by), "_sw_tie": F.xxhash64(*rows.columns)})
+    cut = split_along(keyed, [*order, "_sw_tie"], stored_frame(sizes, "file_sizes"), len(folders))
+    # buckets get numbers without holes: each is one task and one file
+    slots = cut.select(KEY, BUCKET).distinct().withColumn("_sw_slot", F.row_number().over(Window.partitionBy(KEY).orderBy(BUCKET)) - 1)
+    firsts = sizes.select(KEY, F.coalesce(F.sum("_sw_nb").over(Window.orderBy(KEY).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_sw_first"))
+    numbered = slots.join(F.broadcast(firsts), KEY).select(KEY, BUCKET, (F.col("_sw_first") + F.col("_sw_slot")).cast("int").alias("_sw_slot"))
+    total = plan.agg(F.sum("files")).first()[0]
+    numbered = F.broadcast(numbered) if total <= BROADCAST_KEYS else numbered
+    spread = cut.join(numbered, [KEY, BUCKET]).select(*rows.columns, "_sw_slot").repartitionById(int(total), F.col("_sw_slot"))
+    return rewrite_partitions(spark, spread.sortWithinPartitions(by, *order).drop("_sw_slot"), path, by, sort, lay_out=False)
 
 
 def recompress(

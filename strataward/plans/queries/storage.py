@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataward.operators import layout as L
 from strataward.operators.normalize import normalize
 from strataward.plans import fixtures as X
 from strataward.plans.registry import Registry
-from strataward.session import scratch_path
+from strataward.session import scratch_path, stored_frame
+from strataward.sources import figures as N
 from strataward.sources import files as P
 from strataward.sources import writer as W
 from strataward.sources.catalog import NONE, YEAR, YEAR_MONTH, DatasetSpec
@@ -185,6 +187,31 @@ def _(spark, d):
     return spark.read.parquet(path)
 
 
+@query(
+    "compact_ranges",
+    f"""WITH {_ROWS} SELECT CAST(year AS VARCHAR) AS value, count(*) AS record_count, true AS as_planned, CAST(0 AS BIGINT) AS overlaps FROM s GROUP BY year""",
+)
+def _(spark, d):
+    """Each year split into files of a target size along the order key: their number, and pairs of neighbours whose ranges overlap."""
+    path = _scattered(spark, d)
+    L.compact_to_target(spark, path, "year", ["o_orderkey"], target_mb=8.0)  # one file a year
+    before = stored_frame(P.partition_sizes(P.partition_files(spark, path)).select("value", F.col("size_bytes").alias("before")), "before")
+    target = before.agg(F.min("before")).first()[0] / 3.5 / 1024 / 1024  # every year is split
+    wanted = before.select("value", F.floor(F.col("before") / (target * 1024 * 1024)).alias("wanted"))
+    L.compact_to_target(spark, path, "year", ["o_orderkey"], target_mb=target)
+    rows = spark.read.parquet(path)
+    ends = rows.groupBy("year", F.col("_metadata.file_path").alias("file")).agg(
+        F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+    last = Window.partitionBy("year").orderBy("low")
+    ends = ends.withColumn("over", (F.lag("high").over(last) >= F.col("low")).cast("long"))
+    per = ends.groupBy(F.col("year").cast("string").alias("value")).agg(
+        F.sum("n").alias("record_count"), F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("over"), F.lit(0)).alias("overlaps")
+    )
+    checked = per.join(wanted, "value").withColumn("as_planned", (F.col("files") == F.col("wanted")) & (F.col("files") > 2))
+    return checked.select("value", "record_count", "as_planned", "overlaps")
+
+
 @query("recompress", _Y)
 def _(spark, d):
     path = _scattered(spark, d)
@@ -205,6 +232,24 @@ def _(spark, d):
     return stats.select("partition", "value", "record_count", (F.col("size_bytes") > 0).alias("sized"))
 
 
+@query(
+    "partition_stats_refresh",
+    f"""WITH {_ROWS}, t AS (SELECT *, year IN (1995, 1996) AS touched, CASE WHEN year IN (1995, 1996) THEN -1.0 ELSE close END AS price FROM s)
+    SELECT 'year=' || year AS partition, count(*) AS record_count, CAST(max(touched::INT) AS INT) AS version, min(price) AS low, max(price) AS high, CAST(0 AS BIGINT) AS nulls
+    FROM t GROUP BY year""",
+)
+def _(spark, d):
+    """Figures after an upsert into two years: only these are measured again."""
+    path, table = stored(spark, d).path, scratch_path(spark, "figures")
+    N.create_figures(spark, path, table, ["close"])
+    change = spark.read.parquet(path).where(F.col("year").isin(1995, 1996)).withColumn("close", F.lit(-1.0))
+    W.upsert_partitioned(change, path, "year", ["o_orderkey"], (), YEARLY.sort_fields)
+    N.refresh_figures(spark, path, table)
+    files = N.load_figures(spark, table)
+    ends = N.column_figures(files, {"close": "double"}).select("partition", F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"), "nulls")
+    return N.partition_figures(files).select("partition", "record_count", "version").join(ends, "partition")
+
+
 @query("expired_partitions", f"WITH {_ROWS} SELECT 'year=' || year AS partition, count(*) AS record_count FROM s WHERE year < 1998 GROUP BY year")
 def _(spark, d):
     # file times are those of this run, so each year's last day stands in for them

@@ -253,3 +253,39 @@ def test_ingest_counts_a_batch_once(spark, tmp_path, step):
     mark = load_watermarks(spark, f"{base}/marks").first()
     assert (str(mark["last_update_date"]), mark["record_count"]) == ("2023-03-01", 4)
     assert {(r["ts_code"], r["close"]) for r in spark.read.parquet(spec.path).collect()} == {("a", 9.0), ("b", 2.0), ("c", 3.0), ("d", 4.0)}
+
+
+def test_figures_follow_the_change(spark, tmp_path):
+    """A refresh reads changed files only: an untouched one is spoilt on the side, and nobody notices."""
+    import glob
+    import os
+
+    from strataward.sources import figures as N
+
+    base = f"file://{tmp_path}"
+    path, table = f"{base}/lake", f"{base}/figures"
+    rows = lambda y, vs: spark.createDataFrame([(y, f"k{i}", v) for i, v in enumerate(vs)], "year int, k string, v double")
+    for y, vs in ((2020, [1.0, None]), (2021, [3.0, 4.0]), (2022, [5.0])):
+        W.upsert_partitioned(rows(y, vs), path, "year", ["k"])
+    N.create_figures(spark, path, table, ["v"])
+    at = lambda: {r["partition"]: (r["record_count"], r["version"]) for r in N.partition_figures(N.load_figures(spark, table)).collect()}
+    assert at() == {"year=2020": (2, 0), "year=2021": (2, 0), "year=2022": (1, 0)}
+    assert N.refresh_figures(spark, path, table) == 0
+
+    untouched = glob.glob(f"{tmp_path}/lake/year=2020/*.parquet")[0]
+    old = os.stat(untouched)
+    with open(untouched, "r+b") as f:
+        f.write(b"x" * old.st_size)
+    os.utime(untouched, ns=(old.st_atime_ns, old.st_mtime_ns))
+    spark.catalog.refreshByPath(path)
+    W.write_partitioned(rows(2022, [6.0, 7.0, None]), path, ["year"])
+    fs.delete(spark, f"{path}/year=2021")
+    assert N.refresh_figures(spark, path, table) == 1
+    assert at() == {"year=2020": (2, 0), "year=2022": (3, 1)}
+    got = {r["partition"]: (r["low"], r["high"], r["nulls"]) for r in N.column_figures(N.load_figures(spark, table), {"v": "double"}).collect()}
+    assert got == {"year=2020": ("1.0", "1.0", 1), "year=2022": ("6.0", "7.0", 1)}
+    N.delete_figures(spark, table, ["year=2022"])
+    assert set(at()) == {"year=2020"}
+    assert N.refresh_figures(spark, path, table) == 1 and set(at()) == {"year=2020", "year=2022"}
+    N.delete_figures(spark, table)
+    assert not fs.exists(spark, table)

@@ -200,6 +200,47 @@ def _append(spark: SparkSession, store: str, record: dict) -> None:
     spark.createDataFrame([row], VERSION_SCHEMA).coalesce(1).write.mode("append").parquet(f"{store}/versions")
 
 
+SLICE, SLICES = "slice_no", 16  # a snapshot is stored in slices by a hash of the code
+
+
+def _snapshot(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(SLICE)
+
+
+def _slice_digests(stored: DataFrame) -> DataFrame:
+    """Rows and two sums of row hashes of each slice; sums need no order, so no slice is held."""
+    columns = sorted(c for c in stored.columns if c != SLICE)
+    total = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(20,0)"))
+    return stored.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n"), total(*columns).alias("h1"), total(F.lit("second"), *columns).alias("h2"))
+
+
+def changed_slices(spark: SparkSession, store: str, old: str, new: str) -> list[int]:
+    """Slices in which two versions differ, by their stored digests."""
+    before, after = (spark.read.parquet(f"{store}/digests/{v}") for v in (old, new))
+    seen = before.exceptAll(after).unionByName(after.exceptAll(before)).select(SLICE).distinct()
+    return sorted(r[0] for r in seen.collect())
+
+
+def version_diff(spark: SparkSession, store: str, kind: str, old: str, new: str) -> DataFrame:
+    """``code`` and ``action`` (added, removed or changed) between two versions; codes must be unique in each.
+
+    Only the slices whose digests differ are read.
+    """
+    paths = {r["version"]: r["snapshot"] for r in version_history(spark, store, kind).where(F.col("version").isin(old, new)).collect()}
+    if missing := {old, new} - set(paths):
+        raise ValueError(f"no version {sorted(missing)} of {kind}")
+    slices = changed_slices(spark, store, old, new)
+
+    def rows(version: str, side: str) -> DataFrame:
+        df = spark.read.parquet(paths[version])
+        content = F.struct(*sorted(c for c in df.columns if c not in ("code", SLICE)))
+        return df.where(F.col(SLICE).isin(slices)).select("code", content.alias(side), F.lit(True).alias(f"in_{side}"))
+
+    both = rows(old, "a").join(rows(new, "b"), "code", "full_outer")
+    action = F.when(F.col("in_a").isNull(), "added").when(F.col("in_b").isNull(), "removed").when(~F.col("a").eqNullSafe(F.col("b")), "changed")
+    return both.select("code", action.alias("action")).where("action IS NOT NULL")
+
+
 def version_dict(dictionary: DataFrame, store: str, kind: str, created_at: str) -> str:
     """Keep a snapshot of the dictionary and log it; returns the version name."""
     spark = dictionary.sparkSession
@@ -207,8 +248,10 @@ def version_dict(dictionary: DataFrame, store: str, kind: str, created_at: str)
     seq = 1 if last is None else last["seq"] + 1
     version = f"{kind}_{seq:06d}"
     snapshot = f"{store}/snapshots/{version}"
-    dictionary.write.mode("overwrite").parquet(snapshot)
-    kept = spark.read.parquet(snapshot)
+    sliced = dictionary.withColumn(SLICE, F.pmod(F.xxhash64("code"), F.lit(SLICES)).cast("int"))
+    sliced.repartition(SLICE).write.mode("overwrite").partitionBy(SLICE).parquet(snapshot)
+    _slice_digests(spark.read.parquet(snapshot)).coalesce(1).write.mode("overwrite").parquet(f"{store}/digests/{version}")
+    kept = _snapshot(spark, snapshot)
     _append(spark, store, {
         "kind": kind, "seq": seq, "version": version, "action": "create",
         "content_hash": content_hash(kept).first()["content_hash"], "record_count": kept.count(),
@@ -224,13 +267,13 @@ def rollback_dict(spark: SparkSession, store: str, kind: str, version: str, crea
         raise ValueError(f"no version {version} of {kind}")
     last = current_version(spark, store, kind)
     _append(spark, store, {**found.asDict(), "seq": last["seq"] + 1, "action": "rollback", "created_at": created_at})
-    return spark.read.parquet(found["snapshot"])
+    return _snapshot(spark, found["snapshot"])
 
 
 def current_dict(spark: SparkSession, store: str, kind: str) -> DataFrame:
     """Content of the current version."""
     last = current_version(spark, store, kind)
-    return empty_dictionary(spark) if last is None else spark.read.parquet(last["snapshot"])
+    return empty_dictionary(spark) if last is None else _snapshot(spark, last["snapshot"])
 
 
 def sync_status(dims: dict[str, DataFrame], ranges: dict = ID_RANGES) -> DataFrame:

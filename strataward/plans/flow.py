@@ -17,6 +17,7 @@ from strataward.operators.cross import validate_cross_dataset
 from strataward.operators.issues import issue_columns, union_issues
 from strataward.operators.revision import revision_stats
 from strataward.operators.score import dataset_scores, issue_summary, report_rows
+from strataward.session import stored_frame
 
 PRICED = ("stock", "index")  # fixed values: types that get anomaly checks
 
@@ -90,9 +91,12 @@ def quality_flow(
     historical: DataFrame | None = None, revision_keys: Sequence[str] = ("ts_code", "end_date"),
     config: FlowConfig = FlowConfig(),
 ) -> FlowResult:
-    """Validate, compare with history when one dataset and its history are given, score and report."""
-    issues = validate_datasets(datasets, types, as_of, order_by, keys, config)
-    totals = record_totals(datasets)
+    """Validate, compare with history when one dataset and its history are given, score and report.
+
+    Issues and totals are computed once and stored; scores, summary and report read these few rows.
+    """
+    issues = stored_frame(validate_datasets(datasets, types, as_of, order_by, keys, config), "issues")
+    totals = stored_frame(record_totals(datasets), "totals")
     revisions = None
     if historical is not None and len(datasets) == 1:
         revisions = revision_stats(next(iter(datasets.values())), historical, revision_keys)

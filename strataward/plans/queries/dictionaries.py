@@ -167,6 +167,21 @@ def _(spark, d):
     return D.version_history(spark, _versions(spark, d), "stock").drop("snapshot")
 
 
+@query(
+    "version_diff",
+    f"""WITH {_DICT} SELECT code, CASE WHEN id % 7 = 0 THEN 'removed' ELSE 'changed' END AS action FROM dict WHERE id % 7 = 0 OR id % 5 = 0
+    UNION ALL SELECT 'NEW' || code, 'added' FROM dict WHERE id % 11 = 0""",
+)
+def _(spark, d):
+    """A dictionary and a version of it with codes removed, changed and added."""
+    store, first = scratch_path(spark, "dict"), _dict(spark, d)
+    old = D.version_dict(first, store, "stock", "2024-01-01T00:00:00")
+    rest = first.where("id % 7 <> 0").withColumn("id", F.when(F.col("id") % 5 == 0, -F.col("id")).otherwise(F.col("id")))
+    more = first.where("id % 11 = 0").withColumn("code", F.concat(F.lit("NEW"), "code"))
+    new = D.version_dict(rest.unionByName(more), store, "stock", "2024-01-02T00:00:00")
+    return D.version_diff(spark, store, "stock", old, new)
+
+
 @query("rollback_dict", f"WITH {_DICT} SELECT code, id FROM dict")
 def _(spark, d):
     return D.current_dict(spark, _versions(spark, d), "stock")

@@ -126,6 +126,31 @@ def _(spark, d):
     return result.scores.withColumn("quality_score", F.round("quality_score", 6))
 
 
+_SEVERITY = """CASE WHEN regexp_matches(lower("check"), 'missing|null|required|invalid') THEN 'critical' WHEN regexp_matches(lower("check"), 'anomaly|inconsistency|revision') THEN 'high'
+ WHEN regexp_matches(lower("check"), 'bounds|range|format') THEN 'medium' ELSE 'low' END"""
+_FLOW_SUMMARY = X.with_views("range_sets", extra=f"""iss AS ({_FLOW_ISSUES}), sv AS (SELECT *, {_SEVERITY} AS severity FROM iss),
+ su AS (SELECT dataset, count(*) AS total_issues, {", ".join(f"count(*) FILTER (severity = '{s}') AS {s}_issues" for s in ("critical", "high", "medium", "low"))},
+  string_agg(DISTINCT scope, ',' ORDER BY scope) AS validation_types FROM sv GROUP BY dataset)""")
+
+
+@query("quality_flow_summary", _FLOW_SUMMARY + "SELECT * FROM su")
+def _(spark, d):
+    return flow.quality_flow(X.range_sets(spark, d), {}, cross.AS_OF).summary
+
+
+@query(
+    "quality_flow_report",
+    _FLOW_SUMMARY + f"""SELECT t.dataset, '{cross.AS_OF}' AS generated_at, total_records, coalesce(total_issues, 0) AS total_issues,
+    round(greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - coalesce(total_issues, 0)::DOUBLE / total_records)), 6) AS quality_score,
+    coalesce(critical_issues, 0) AS critical_issues, coalesce(high_issues, 0) AS high_issues, coalesce(medium_issues, 0) AS medium_issues, coalesce(low_issues, 0) AS low_issues
+    FROM (SELECT dataset, count(*) AS total_records FROM range_sets GROUP BY 1) t LEFT JOIN su USING (dataset)""",
+)
+def _(spark, d):
+    report = flow.quality_flow(X.range_sets(spark, d), {}, cross.AS_OF).report
+    fields = "generated_at string, total_records long, total_issues long, quality_score double, critical_issues long, high_issues long, medium_issues long, low_issues long"
+    return report.select("dataset", F.from_json("report", fields).alias("r")).select("dataset", "r.*")
+
+
 @query(
     "quality_flow_revisions",
     X.with_views("statements", "statements_old", extra="""m AS (SELECT c.revenue, c.n, o.revenue AS r0, o.n AS n0, o.ts_code IS NOT NULL AS had

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import struct
 import zlib
 
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -71,6 +73,46 @@ def test_permutation_is_a_bijection(spark, n):
     assert all(r.back == r.id for r in rows)
 
 
+def spark_hash(*values):
+    """xxhash64 of longs and ints as a chain of seeds; a null leaves the seed."""
+    seed = 42
+    for v, form in values:
+        if v is not None:
+            seed = xxhash.xxh64_intdigest(struct.pack(form, v), seed)
+    return seed - 2**64 if seed >= 2**63 else seed
+
+
+def plain_feistel(x, n, seed=42):
+    """The permutation in plain Python: rounds over the grid, again and again until the number is below n."""
+    a = 1
+    while a * a < n:
+        a += 1
+    b = -(-n // a)
+    while True:
+        left, right = x % a, x // a
+        for i in range(shard.ROUNDS):
+            if i % 2 == 0:
+                left = (left + spark_hash((right, "<q"), (seed, "<i"), (i, "<i")) % a) % a
+            else:
+                right = (right + spark_hash((left, "<q"), (seed, "<i"), (i, "<i")) % b) % b
+        x = right * a + left
+        if x < n:
+            return x
+
+
+def plain_shards(rows, shards):
+    facts = sorted(((k, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for k, t in rows), key=lambda f: (spark_hash(*[(v, "<q") for v in f]) % 64, f[0] is not None, f[0] or 0, f[1:]))
+    places = [plain_feistel(i, len(rows)) for i in range(len(rows))]
+    return sorted([(*f, p % shards, p // shards) for f, p in zip(facts, places)], key=str)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 26, 300])
+def test_shards_equal_a_plain_permutation(docs, n):
+    rows = [(i * 7919 - 50, "é" * (i % 11)) for i in range(n)] + [(3, "same")] * (n // 3) + [(None, None)] * (n // 5)
+    got = [(r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in shard.shard_documents(docs(rows), 24).collect()]
+    assert sorted(got, key=str) == plain_shards(rows, 24)
+
+
 def test_shards_are_even_and_complete(docs):
     rows = [(i, "x" * (i % 13)) for i in range(200)] + [(7, "same")] * 60 + [(None, None), (None, None)]
     got = shard.shard_documents(docs(rows), 24).collect()

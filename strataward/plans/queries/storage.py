@@ -11,6 +11,7 @@ from strataward.plans import fixtures as X
 from strataward.plans.registry import Registry
 from strataward.session import scratch_path, stored_frame
 from strataward.sources import figures as N
+from strataward.sources import fs
 from strataward.sources import files as P
 from strataward.sources import writer as W
 from strataward.sources.catalog import NONE, YEAR, YEAR_MONTH, DatasetSpec
@@ -282,6 +283,21 @@ def _(spark, d):
     return P.layout_health(spark, stored(spark, d).path).select("partition", "record_count", "unreadable_files", "healthy")
 
 
+@query(
+    "layout_health_damaged",
+    """SELECT 'year=' || year(o_orderdate) AS partition, CASE year(o_orderdate) WHEN 1995 THEN 'cut.parquet' WHEN 1996 THEN 'other.parquet' ELSE 'none.parquet' END AS file, true AS has_error
+    FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 1997 GROUP BY ALL""",
+)
+def _(spark, d):
+    """A cut file, one of another kind and one of no bytes, each named with its error."""
+    path = stored(spark, d).path
+    whole = spark.read.format("binaryFile").load(f"{path}/year=1995").select("content").first()[0]
+    for name, data in (("year=1995/cut", bytes(whole[: len(whole) // 2])), ("year=1996/other", b"not a table"), ("year=1997/none", b"")):
+        fs.write_bytes(spark, f"{path}/{name}.parquet", data)
+    found = P.damaged_files(spark, path)
+    return found.select("partition", F.element_at(F.split("path", "/"), -1).alias("file"), (F.length("error") > 0).alias("has_error"))
+
+
 @query(
     "validate_layout",
     """SELECT 'sales' AS dataset, 'YEAR' AS expected, 'YEAR' AS actual, count(*) > 0 AS matches FROM orders

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import io
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -115,6 +119,59 @@ def partition_stats(spark: SparkSession, path: str, by: str) -> DataFrame:
     )
 
 
+def _plain_path(path):
+    return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
+
+
+def _read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``_k`` (path), ``rows`` and ``stated`` of each file: rows read with every column, and rows by its footer; damage is passed over."""
+    # the schema from all footers, in tasks: any one file may be the damaged one
+    stored = spark.read.option("ignoreCorruptFiles", True).option("mergeSchema", True).parquet(path)
+    file = _plain_path(F.col("_metadata.file_path")).alias("_k")
+    # the hash makes the scan read every column
+    read = stored.groupBy(file).agg(F.count(F.lit(1)).alias("rows"), F.max(F.xxhash64(*stored.columns)).alias("content")).where("content IS NOT NULL")
+    stated = stored.groupBy(file).agg(F.count(F.lit(1)).alias("stated"))
+    return stated.join(read, "_k", "full_outer").select("_k", "rows", "stated")
+
+
+def _open_error(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for part in parts:
+        errors = []
+        for content in part["content"]:
+            try:
+                file = pq.ParquetFile(io.BytesIO(content))
+                for i in range(file.num_row_groups):
+                    file.read_row_group(i)
+                errors.append(None)
+            except Exception as e:  # whatever the damage, its text is the result
+                errors.append(f"{type(e).__name__}: {e}")
+        yield pd.DataFrame({"path": part["path"], "error": errors})
+
+
+def damaged_files(spark: SparkSession, path: str) -> DataFrame:
+    """``partition``, ``path`` and ``error`` of every file that cannot be read to its end.
+
+    One scan of the dataset finds files that give no rows, or fewer than their footer states. Only these are
+    opened again, one to a task, page by page, for the text of their error.
+    """
+    files = partition_files(spark, path)
+    suspect = files.withColumn("_k", _plain_path(F.col("path"))).join(_read_rows(spark, path), "_k", "left")
+    suspect = suspect.where("rows IS NULL OR stated IS NULL OR rows <> stated")
+    paths = [r["path"] for r in suspect.select("path").collect()]  # damaged files only
+    empty = [(f.rsplit("/", 2)[1] if "=" in f.rsplit("/", 2)[1] else "", f, "file of no bytes") for f in fs.empty_files(spark, path)]
+    out = spark.createDataFrame(empty, "partition string, path string, error string")
+    if paths:
+        content = spark.read.format("binaryFile").load([_escaped(p) for p in paths]).select("path", "content").repartition(len(paths))
+        opened = content.mapInPandas(_open_error, "path string, error string").where("error IS NOT NULL")
+        out = out.unionByName(opened.join(files.select("path", "partition"), "path").select("partition", "path", "error"))
+    return out
+
+
+def _escaped(path: str) -> str:
+    """A path that is no pattern."""
+    return "".join("\\" + c if c in "*?[]{}" else c for c in path)
+
+
 def layout_health(spark: SparkSession, path: str, small_mb: float = 10.0) -> DataFrame:
     """Rows per partition, files that gave none, and a small-file notice.
 
@@ -122,18 +179,9 @@ def layout_health(spark: SparkSession, path: str, small_mb: float = 10.0) -> Dat
     Listings leave out files of no bytes, so those are counted per folder.
     """
     files = partition_files(spark, path)
-    listed = {r["partition"]: r["n"] for r in files.groupBy("partition").agg(F.count(F.lit(1)).alias("n")).collect()}
-    hollow = [(p, n) for p in fs.child_folders(spark, path) if (n := fs.file_count(spark, f"{path}/{p}") - listed.get(p, 0)) > 0]
-    blank = spark.createDataFrame(hollow, "partition string, empty_files long")
-    stored = spark.read.option("ignoreCorruptFiles", True).parquet(path)
-    seen = (
-        stored
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.max(F.xxhash64(*stored.columns)).alias("content"))
-        .where("content IS NOT NULL")  # the hash makes the scan read every column
-    )
-    key = lambda c: F.regexp_replace(c, "^[a-z0-9]+:/+", "/")
-    joined = files.withColumn("_k", key(F.col("path"))).join(seen.withColumn("_k", key(F.col("file_path"))), "_k", "left")
+    hollow = Counter(f.rsplit("/", 2)[1] if "=" in f.rsplit("/", 2)[1] else "" for f in fs.empty_files(spark, path))
+    blank = spark.createDataFrame(sorted(hollow.items()), "partition string, empty_files long")
+    joined = files.withColumn("_k", _plain_path(F.col("path"))).join(_read_rows(spark, path), "_k", "left")
     per = joined.groupBy("partition").agg(
         F.count(F.lit(1)).alias("_files"),
         F.sum("size_bytes").alias("size_bytes"),

@@ -71,10 +71,15 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(Path(path)) if s.isDirectory() and "=" in s.getPath().getName())
 
 
-def file_count(spark: SparkSession, path: str) -> int:
-    """Files below a path, hidden ones aside."""
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files of no bytes below a folder, hidden ones aside; one recursive listing."""
     fs, Path = _fs(spark, path)
-    return fs.getContentSummary(Path(path)).getFileCount()
+    out, files = [], fs.listFiles(Path(path), True)
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
+            out.append(status.getPath().toString())
+    return out
 
 
 def files_in(spark: SparkSession, path: str, suffix: str) -> list[str]:
@@ -85,13 +90,13 @@ def files_in(spark: SparkSession, path: str, suffix: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.listStatus(Path(path)) if s.isFile() and s.getPath().getName().endswith(suffix))
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """Write a small file whole: it appears under its name when complete, in place of an earlier one."""
     fs, Path = _fs(spark, path)
     part = f"{path}.{uuid.uuid4().hex}.part"
     out = fs.create(Path(part), True)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
@@ -101,6 +106,10 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(Path(part), Path(path), options)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    write_bytes(spark, path, text.encode())
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, Path = _fs(spark, path)
     stream = fs.open(Path(path))

@@ -24,6 +24,7 @@ def code_from_path(path: Column | str) -> Column:
     def pick(pattern: str, group: int = 1) -> Column:
         return F.nullif(F.regexp_extract(name, pattern, group), F.lit(""))
 
+    # fixed values: how file names spell a listing code, and the market of six bare digits
     under = pick(r"(\d{6}_[A-Z]{2})")
     prefixed, dotted, digits = pick(r"([A-Z]{2}\d{6})"), pick(r"(\d{6}\.[A-Z]{2})"), pick(r"(\d{6})")
     market = F.when(digits.rlike("^[03]"), F.lit(".SZ")).otherwise(F.lit(".SH"))

@@ -65,6 +65,11 @@ def sync_encode(
     return encode(df, grown, code_col, id_col), grown
 
 
+def remove_codes(dictionary: DataFrame, codes: DataFrame) -> DataFrame:
+    """The dictionary without some codes (``code``); their IDs are not given out again below the largest one. Unknown codes change nothing."""
+    return dictionary.join(broadcast_if_small(codes.select("code")), "code", "left_anti").select(*dictionary.columns)
+
+
 def decode(df: DataFrame, dictionary: DataFrame, id_col: str, code_col: str = "ts_code", label: str = "stock") -> DataFrame:
     """Add the code of an ID; an unmapped ID reads ``<label>_id_<id>``."""
     lookup = broadcast_if_small(dictionary.select(F.col("id").alias(id_col), F.col("code").alias("_sw_code")))

@@ -167,6 +167,12 @@ def _(spark, d):
     return D.version_history(spark, _versions(spark, d), "stock").drop("snapshot")
 
 
+@query("remove_codes", f"WITH {_DICT} SELECT code, id FROM dict WHERE code NOT IN (SELECT c_name FROM customer WHERE c_custkey % 5 = 0)")
+def _(spark, d):
+    gone = X.table(spark, d, "customer").where("c_custkey % 5 = 0").select(F.col("c_name").alias("code"))
+    return D.remove_codes(_dict(spark, d), gone.unionByName(gone))
+
+
 @query(
     "version_diff",
     f"""WITH {_DICT} SELECT code, CASE WHEN id % 7 = 0 THEN 'removed' ELSE 'changed' END AS action FROM dict WHERE id % 7 = 0 OR id % 5 = 0

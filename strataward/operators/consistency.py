@@ -128,11 +128,14 @@ def check_price_change(
     df: DataFrame, dataset: str, order_by: Sequence[str], keys: Sequence[str] = (),
     config: ConsistencyConfig = DEFAULTS, policy: SkewPolicy = AUTO,
 ) -> DataFrame:
-    """Steps of close above the allowed share, row to row within a key."""
+    """Steps of close above the allowed share, row to row within a key.
+
+    Rows that ``order_by`` leaves equal follow by close, so the count is one and the same in every run.
+    """
     if "close" not in df.columns:
         return no_issues(df.sparkSession)
     narrow = df.select(*dict.fromkeys([*keys, *order_by, "close"]))
-    o = ordered(narrow, keys, order_by, halo=1, policy=policy)
+    o = ordered(narrow, keys, list(dict.fromkeys([*order_by, "close"])), halo=1, policy=policy)
     before = F.lag("close").over(o.window)
     stepped = o.finish(o.df.withColumn("_change", F.abs(F.try_divide(F.col("close") - before, before))))
     rules = CountRules(dataset)

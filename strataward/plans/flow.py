@@ -42,10 +42,14 @@ class FlowResult:
 def anomaly_issues(
     df: DataFrame, dataset: str, order_by: Sequence[str], keys: Sequence[str], config: FlowConfig = FlowConfig()
 ) -> DataFrame:
-    """One issue row with the number of anomalous closes, if any."""
+    """One issue row with the number of anomalous closes, if any.
+
+    Rows that ``order_by`` leaves equal follow by close and volume, so the number is one and the same in every run.
+    """
     volume = "volume" if "volume" in df.columns else None
-    narrow = df.select(*dict.fromkeys([*keys, *order_by, "close", *([volume] if volume else [])]))
-    found = anomaly_summary(detect_anomalies(narrow, "close", order_by, keys, volume, config.anomaly, config.policy))
+    order = list(dict.fromkeys([*order_by, "close", *([volume] if volume else [])]))
+    narrow = df.select(*dict.fromkeys([*keys, *order]))
+    found = anomaly_summary(detect_anomalies(narrow, "close", order, keys, volume, config.anomaly, config.policy))
     said = F.concat(F.col("anomaly_count").cast("string"), F.lit(" anomalous values of close"))
     return found.where(F.col("anomaly_count") > 0).select(
         *issue_columns(dataset, "anomaly", "price_anomaly", "close", count=F.col("anomaly_count"), description=said)

@@ -336,3 +336,20 @@ def test_watermark_update_keeps_other_fields(spark):
     later = up.withColumns({"record_count": F.lit(None).cast("long"), "last_update_date": F.lit("2024-01-05").cast("date"), "updated_at": now("2024-01-05")})
     row = W.merge_watermarks(W.merge_watermarks(W.empty_watermarks(spark), first), later).first()
     assert (row["record_count"], str(row["last_update_date"]), str(row["created_at"])[:10]) == (10, "2024-01-05", "2024-01-01")
+
+
+def test_tied_rows_have_one_order(spark):
+    """Rows that the order leaves equal: as many steps and anomalies whatever way the rows come in."""
+    from strataward.operators import consistency as C
+    from strataward.plans import flow
+
+    closes = [1.0, 1.1, 5.0, 1.0, 9.0, 5.1, 1.2, 9.1]
+    fields = "ts_code string, trade_date string, open double, close double, volume long"
+    rows = [(f"k{k}", None, 2.0, closes[(i * (k + 1)) % 8], i) for k in range(4) for i in range(8)]
+    found = set()
+    for part in (rows, rows[::-1], sorted(rows, key=lambda r: (r[0], -r[3]))):
+        df = spark.createDataFrame(part, fields).coalesce(1)
+        steps = C.check_price_change(df, "d", ["trade_date", "open"], ["ts_code"]).first()["count"]
+        odd = flow.anomaly_issues(df, "d", ["trade_date", "open"], ["ts_code"]).collect()
+        found.add((steps, tuple(r["count"] for r in odd)))
+    assert len(found) == 1

@@ -12,30 +12,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataward.functions.size import AUTO, KEY, Hot, SkewPolicy, find_hot, key_column
 from strataward.session import stored_frame
 
 SHIFTS = (52, 40, 28, 16, 4, 0)  # bits left below the prefix after each round
-_LEAST = -1022  # exponent of the smallest normal double
+_NAN = 2048 * (1 << 52) - 1  # above infinity
+
+
+def _code(values: pa.Array) -> pa.Array:
+    v = values.to_numpy(zero_copy_only=False)
+    bits = v.view(np.int64) & np.int64((1 << 63) - 1)
+    return pa.array(np.where(np.isnan(v), _NAN, np.where(v < 0, -bits, bits)), mask=values.is_null().to_numpy(zero_copy_only=False))
 
 
 def order_code(value: Column) -> Column:
-    """A long in the order of the doubles: sign, exponent and mantissa; NaN last, both zeros 0."""
-    size = F.abs(value)
-    guess = F.floor(F.log2(size)).cast("double")
-    near = F.least(F.greatest(guess, F.lit(float(_LEAST))), F.lit(1023.0))
-    # the logarithm is rounded: correct it by one where the power lies on the wrong side
-    low = F.when((F.pow(F.lit(2.0), near) > size) & (near > _LEAST), near - 1).otherwise(near)
-    exponent = F.when((low < 1023) & (F.pow(F.lit(2.0), low + 1) <= size), low + 1).otherwise(low)
-    mantissa = ((size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**52).cast("long")
-    normal = (exponent - _LEAST + 1).cast("long") * (1 << 52) + mantissa
-    # below the normal doubles the step is even: the bits are the multiple of the smallest double
-    tiny = (size * 2.0**537 * 2.0**537).cast("long")
-    code = F.when(size == float("inf"), F.lit(2047 << 52)).when(size < 2.0**_LEAST, tiny).otherwise(normal)
-    return F.when(F.isnan(value), F.lit(2048 * (1 << 52) - 1)).when(value < 0, -code).otherwise(code)
+    """A long in the order of the doubles: sign, exponent and mantissa; NaN last, both zeros 0.
+
+    One evaluation a row: the optimizer would copy a deterministic form into every filter and key.
+    """
+    return F.arrow_udf(_code, T.LongType()).asNondeterministic()(value)
 
 
 def key_quantiles(

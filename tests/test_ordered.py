@@ -156,3 +156,12 @@ def test_winsorize_and_statistics(spark):
     q1, _, q3 = statistics.quantiles(values, n=4, method="inclusive")
     assert bounds["upper"] == pytest.approx(q3 + 1.5 * (q3 - q1))
     assert R.repair_winsorize(df, R.outlier_bounds(df)).agg(F.max("v")).first()[0] == pytest.approx(bounds["upper"])
+
+
+def test_order_code_is_computed_once_a_row(spark):
+    """Filters and keys on the code refer to it; none of them computes it again."""
+    coded = spark.range(10).select(order_code(F.col("id").cast("double")).alias("c"))
+    used = coded.withColumn("b", F.shiftright("c", 40)).where(F.col("b").isNotNull() & (F.col("c") > 3)).groupBy("c", "b").count()
+    plan = used._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_code(") == 1 and "POWER" not in plan.upper()
+    assert used.count() == 9  # all but zero

@@ -16,6 +16,7 @@ from strataward.sources.files import partition_files, partition_sizes, storage_e
 from strataward.sources.writer import MAX_TOUCHED, in_partitions, rewrite_partitions, write_dataset
 
 MB = 1024 * 1024
+TASK_MB = 128.0  # files that one task of a compaction writes, together
 
 
 def _folders(sizes: DataFrame) -> list:
@@ -51,6 +52,19 @@ def compact_small(
     return rewrite_partitions(spark, _stored(spark, path, by, values), path, by, sort)
 
 
+def _first_tasks(sizes: DataFrame, together: int) -> DataFrame:
+    """``KEY``, ``_sw_first`` and ``_sw_most``: the first task of each partition, and the number of tasks it shares.
+
+    ``together`` partitions, those with the most files first, share tasks: file i of each goes to the i-th of them.
+    """
+    rank = F.row_number().over(Window.orderBy(F.col("_sw_nb").desc(), KEY)) - 1
+    grouped = sizes.select(KEY, "_sw_nb", F.floor(rank / together).alias("_sw_group"))
+    most = grouped.groupBy("_sw_group").agg(F.max("_sw_nb").alias("_sw_most"))
+    earlier = Window.orderBy("_sw_group").rowsBetween(Window.unboundedPreceding, -1)
+    first = most.select("*", F.coalesce(F.sum("_sw_most").over(earlier), F.lit(0)).alias("_sw_first"))
+    return grouped.join(first, "_sw_group").select(KEY, "_sw_first", "_sw_most")
+
+
 def compact_to_target(
     spark: SparkSession, path: str, by: str, sort: Sequence[str] = (), target_mb: float = 100.0
 ) -> list[str]:
@@ -59,7 +73,8 @@ def compact_to_target(
     Small partitions are joined to one file and large ones split. Cut points come from a sample per
     partition, so the files of a partition are even and their key ranges do not overlap. Equal keys are told
     apart by a hash of the row, so that a key with most of the rows is split too; files then
-    share that key. Each file is one task. A partition that has its number of files already is left alone.
+    share that key. A task writes one file, or, where the target is small, one file of each of several
+    partitions, up to 128 MB in all. A partition that has its number of files already is left alone.
     """
     journal.settle(spark, path)
     wanted = F.greatest(F.floor(F.col("size_bytes") / (target_mb * MB)), F.lit(1)).cast("long")
@@ -77,13 +92,14 @@ def compact_to_target(
     order = [c for c in sort if c in rows.columns and c != by]
     keyed = rows.withColumns({KEY: F.struct(by), "_sw_tie": F.xxhash64(*rows.columns)})
     cut = split_along(keyed, [*order, "_sw_tie"], stored_frame(sizes, "file_sizes"), len(folders))
-    # buckets get numbers without holes: each is one task and one file
+    # buckets get numbers without holes: each is one file
     slots = cut.select(KEY, BUCKET).distinct().withColumn("_sw_slot", F.row_number().over(Window.partitionBy(KEY).orderBy(BUCKET)) - 1)
-    firsts = sizes.select(KEY, F.coalesce(F.sum("_sw_nb").over(Window.orderBy(KEY).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_sw_first"))
+    firsts = stored_frame(_first_tasks(sizes, max(1, int(TASK_MB / target_mb))), "first_tasks")
     numbered = slots.join(F.broadcast(firsts), KEY).select(KEY, BUCKET, (F.col("_sw_first") + F.col("_sw_slot")).cast("int").alias("_sw_slot"))
     total = plan.agg(F.sum("files")).first()[0]
+    tasks = firsts.agg(F.max(F.col("_sw_first") + F.col("_sw_most"))).first()[0]
     numbered = F.broadcast(numbered) if total <= BROADCAST_KEYS else numbered
-    spread = cut.join(numbered, [KEY, BUCKET]).select(*rows.columns, "_sw_slot").repartitionById(int(total), F.col("_sw_slot"))
+    spread = cut.join(numbered, [KEY, BUCKET]).select(*rows.columns, "_sw_slot").repartitionById(int(tasks), F.col("_sw_slot"))
     return rewrite_partitions(spark, spread.sortWithinPartitions(by, *order).drop("_sw_slot"), path, by, sort, lay_out=False)
 
 

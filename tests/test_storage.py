@@ -289,3 +289,12 @@ def test_figures_follow_the_change(spark, tmp_path):
     assert N.refresh_figures(spark, path, table) == 1 and set(at()) == {"year=2020", "year=2022"}
     N.delete_figures(spark, table)
     assert not fs.exists(spark, table)
+
+
+def test_small_files_share_tasks(spark):
+    """File i of several partitions goes to one task, so there are fewer tasks than files."""
+    sizes = spark.createDataFrame([((1,), 5), ((2,), 3), ((3,), 1)], "_sw_key struct<year: int>, _sw_nb long")
+    tasks = lambda together: {r[0][0]: (r[1], r[2]) for r in L._first_tasks(sizes, together).collect()}
+    assert tasks(3) == {1: (0, 5), 2: (0, 5), 3: (0, 5)}
+    assert tasks(2) == {1: (0, 5), 2: (0, 5), 3: (5, 1)}
+    assert tasks(1) == {1: (0, 5), 2: (5, 3), 3: (8, 1)}

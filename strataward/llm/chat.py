@@ -113,36 +113,52 @@ def read_turn(segment: Column) -> Column:
     )
 
 
-def read_example(segs: DataFrame) -> DataFrame:
-    """``conv_id``, ``example``, ``reply``: the trainable text of every example, unescaped, cut out by its span.
+def expanded(segs: DataFrame) -> DataFrame:
+    """Every conversation as its examples, each with all turns before it, and the turns after the last reply.
 
-    The length of an example's context must be where its reply begins in the conversation, else an error is raised.
+    ``conv_id``, ``example`` (null: the turns after the last reply, without a target), ``prompt``, ``completion``
+    and ``prompt_chars``, the length that ``context_chars`` states.
     """
-    start, placed = F.col("reply_start"), F.col("context_chars") == F.col("offset") + F.col("reply_start")
-    span = F.substring("segment", start + 1, F.col("reply_end") - start)
-    wrong = F.raise_error(F.lit("an example's context does not end where its reply begins"))
-    return examples(segs).select("conv_id", "example", F.when(placed, unescape(span)).otherwise(wrong).alias("reply"))
+    closing = segs.groupBy("conv_id").agg(F.coalesce(F.max(F.when(F.col("example").isNotNull(), F.col("position"))), F.lit(-1)).alias("_last"))
+    rest = segs.join(closing.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).where(F.col("position") > F.col("_last"))
+    tail = rest.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("position", "segment"))).alias("t"))
+    after = tail.select(
+        "conv_id", F.lit(None).cast("long").alias("example"), F.array_join(F.transform("t", lambda x: x.segment), "").alias("prompt"),
+        F.lit("").alias("completion"), F.lit(None).cast("long").alias("prompt_chars"),
+    )
+    stated = examples(segs).select(F.col("conv_id").alias("c"), F.col("example").alias("e"), F.col("context_chars").alias("prompt_chars"))
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("example") == F.col("e"))
+    return write_out(segs).join(stated, same).select(*after.columns).unionByName(after)
 
 
 def digests(segs: DataFrame) -> DataFrame:
-    """Read turns back from the segments and trainable text from the examples: counts, lengths and SHA-256.
+    """Read turns and trainable text back from the written examples: counts, lengths and SHA-256.
 
+    The trainable text is the completions; the turns are those of the last example, prompt and completion, and
+    the turns after it. Every prompt must have the length its example states, else an error is raised.
     A digest of a whole conversation needs the conversation in one row, so this report (not
     the formatting) is for conversations that fit in a task: below 2^31 bytes of text.
     """
     def turn(x: Column) -> Column:
-        t = read_turn(x.segment)
+        t = read_turn(F.concat(x, F.lit(END)))
         return F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))
 
-    part = F.struct("position", "segment")
-    whole = segs.groupBy("conv_id").agg(F.sort_array(F.collect_list(part)).alias("s"), F.sum(F.length("segment").cast("long")).alias("formatted_chars"))
-    turns = whole.select("conv_id", "formatted_chars", F.size("s").cast("long").alias("n_turns"), F.array_join(F.transform("s", turn), "").alias("turns"))
-    replies = read_example(segs).groupBy(F.col("conv_id").alias("c")).agg(F.sort_array(F.collect_list(F.struct("example", "reply"))).alias("r"))
-    both = turns.join(replies, F.col("conv_id").eqNullSafe(F.col("c")), "left")
-    loss = F.coalesce(F.array_join(F.transform("r", lambda x: x.reply), ""), F.lit(""))
-    return both.withColumn("loss", loss).select(
-        "conv_id", "n_turns", F.sha2("turns", 256).alias("turns_sha256"), F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",
+    wrong = F.raise_error(F.lit("an example's prompt does not hold all turns before its reply"))
+    rows = expanded(segs).withColumn("checked", F.when(F.col("example").isNull() | (F.length("prompt") == F.col("prompt_chars")), F.col("completion")).otherwise(wrong))
+    # a reply without its end; no text holds one, since control strings are escaped
+    reply = unescape(F.expr(f"substring(checked, 1, length(checked) - {len(END)})"))
+    newest = F.max_by(F.concat("prompt", "checked"), "example")
+    whole = rows.groupBy("conv_id").agg(
+        F.concat(F.coalesce(newest, F.lit("")), F.coalesce(F.max(F.when(F.col("example").isNull(), F.col("prompt"))), F.lit(""))).alias("all"),
+        F.sort_array(F.collect_list(F.when(F.col("example").isNotNull(), F.struct("example", reply.alias("reply"))))).alias("r"),
+    )
+    pieces = F.split("all", END)
+    turns = F.slice(pieces, 1, F.size(pieces) - 1)
+    loss = F.array_join(F.transform("r", lambda x: x.reply), "")
+    read = whole.select("conv_id", "all", turns.alias("t"), loss.alias("loss"))
+    return read.select(
+        "conv_id", F.size("t").cast("long").alias("n_turns"), F.sha2(F.array_join(F.transform("t", turn), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("all").cast("long").alias("formatted_chars"),
     )
 
 

@@ -212,3 +212,15 @@ def test_shared_cycle_walk_has_few_steps():
     for n in (10, 1000, 10**6, 10**12):
         a, b = shard.grid(n)
         assert n <= a * b < n + a + b
+
+
+def test_digests_come_from_the_written_examples(spark):
+    """A turn lost from a prompt, with all segments in place, is an error."""
+    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (1, 3, "assistant", "d"), (1, 4, "user", "e"), (2, 0, "user", "x")]
+    segs = chat.segments(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    rows = {(r.conv_id, r.example): r.prompt + r.completion for r in chat.expanded(segs).collect()}
+    assert rows[(1, 1)] == "<|user|>a</s><|assistant|>b</s><|user|>c</s><|assistant|>d</s>"
+    assert (rows[(1, None)], rows[(2, None)]) == ("<|user|>e</s>", "<|user|>x</s>")
+    short = segs.where((F.col("conv_id") != 1) | (F.col("position") > 0))
+    with pytest.raises(Exception, match="does not hold all turns"):
+        chat.digests(short).collect()

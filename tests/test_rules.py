@@ -235,6 +235,31 @@ def test_stream_state_ends(spark, tmp_path):
     assert got == {i: f"n{i}" for i in "124567"}
 
 
+def test_stream_groups_do_not_grow_with_keys(spark, tmp_path):
+    """Sixty keys in three groups of the worker; each key's chain and state end as if it were alone."""
+    base = f"file://{tmp_path}"
+    fields = "alert_id string, alert_type string, dataset string, severity string, ts timestamp"
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"a{i}", "t", f"d{i * 7 % 60}", "high", start + dt.timedelta(minutes=i * 37 % 600)) for i in range(1200)]
+    rows.sort(key=lambda r: r[4])
+
+    def run(part):
+        spark.createDataFrame(part, fields).write.mode("append").parquet(f"{base}/in")
+        source = spark.readStream.schema(fields).parquet(f"{base}/in")
+        (suppress_stream(source, buckets=3).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/cp")
+         .trigger(availableNow=True).start().awaitTermination())
+        return spark.read.format("statestore").option("path", f"{base}/cp").option("stateVarName", "last_us").load()
+
+    run(rows[:700])
+    state = run(rows[700:])
+    assert state.select("key").distinct().count() <= 3
+    got = spark.read.parquet(f"{base}/out")
+    assert {r["alert_id"] for r in got.collect()} == {r["alert_id"] for r in X.suppress_alerts(spark.createDataFrame(rows, fields)).collect()}
+    last = got.groupBy("dataset").agg(F.max("ts").alias("ts"))
+    open_keys = last.where(F.col("ts") >= F.lit(rows[-1][4] - dt.timedelta(minutes=40)))  # window and lateness
+    assert 0 < state.count() == open_keys.count() < 60
+
+
 def test_stored_alerts_are_facts(spark, tmp_path):
     """Stored 10:00, late 09:40, then 10:12: the last is 12 minutes after an emitted alert."""
     from strataward.operators import ledger

@@ -63,6 +63,9 @@ class Ordered:
 
     def with_cold_stats(self, df: DataFrame, build: Build) -> DataFrame:
         """Add aggregates of whole groups, null for rows of split groups."""
+        if self.hot is not None and not self.hot.limit:  # no group is whole
+            empty = df.agg(*[agg.alias(name) for name, agg in build(lambda c: c).items()]).schema
+            return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in empty})
         on = (lambda c: c) if self.hot is None else (lambda c: F.when(~F.col(IS_HOT), c))
         whole = Window.partitionBy(*self.group)
         return df.select("*", *[agg.over(whole).alias(name) for name, agg in build(on).items()])
@@ -169,23 +172,30 @@ def _cuts(rows: DataFrame, order_by: list[str], level: int) -> DataFrame:
     fan = F.least(F.ceil(F.col("_sw_nb") / above), F.lit(FANOUT)).cast("int")
     share = F.least(F.lit(1.0), fan * SAMPLE_A_BUCKET * above / F.col("_sw_n"))
     chosen = F.shiftrightunsigned(F.xxhash64(F.lit(level), KEY, *order_by), 2) < (share * 2.0**62).cast("long")
-    sampled = rows.where(F.col(IS_HOT) & (fan > 1) & chosen).groupBy(KEY, BUCKET).agg(
-        F.array_sort(F.collect_list(F.struct(*order_by))).alias("_sw_s"), F.max(fan).alias("_sw_fan")
+    bucket = Window.partitionBy(KEY, BUCKET)
+    # ranked by a sort: lists of all sampled rows would be built, and sorted, on both sides of the shuffle
+    sampled = rows.where(F.col(IS_HOT) & (fan > 1) & chosen).select(KEY, BUCKET, *order_by, fan.alias("_sw_fan"))
+    ranked = sampled.select(
+        "*", (F.row_number().over(bucket.orderBy(*order_by)) - 1).alias("_sw_at"), F.count(F.lit(1)).over(bucket).alias("_sw_s")
     )
-    at = lambda i: F.get("_sw_s", F.floor(F.size("_sw_s") * i / F.col("_sw_fan")).cast("int"))
-    steps = F.filter(F.sequence(F.lit(0), F.col("_sw_fan") - 1), lambda i: i > 0)
-    return sampled.select(KEY, BUCKET, F.array_distinct(F.transform(steps, at)).alias("_sw_cuts"))
+    part = F.ceil(F.col("_sw_at") * F.col("_sw_fan") / F.col("_sw_s"))
+    cuts = ranked.where((part > 0) & (part < F.col("_sw_fan")) & (F.floor(F.col("_sw_s") * part / F.col("_sw_fan")) == F.col("_sw_at")))
+    return cuts.groupBy(KEY, BUCKET).agg(F.array_sort(F.array_distinct(F.collect_list(F.struct(*order_by)))).alias("_sw_cuts"))
 
 
-def _cuts_below(cuts: Column, value: Column) -> Column:
-    """How many of the sorted cuts (fewer than ``FANOUT``) are below a value, by halving steps."""
-    steps = F.array(*[F.lit(FANOUT >> b) for b in range(1, FANOUT.bit_length())])
+def _below_cuts(rows: DataFrame, order_by: list[str]) -> DataFrame:
+    """Rows with ``_sw_found``: how many of their sorted cuts (fewer than ``FANOUT``) are below them, by halving steps.
 
-    def step(found: Column, s: Column) -> Column:
-        here = F.get(cuts, found + s - 1)
-        return F.when(F.coalesce(here < value, F.lit(False)), found + s).otherwise(found)
-
-    return F.coalesce(F.aggregate(steps, F.lit(0), step), F.lit(0))
+    A column for each step, as each is used twice by the next: they run as compiled code, which a
+    lambda over an array does not.
+    """
+    value = F.struct(*order_by)
+    rows = rows.withColumn("_sw_found", F.lit(0))
+    for b in range(1, FANOUT.bit_length()):
+        found, s = F.col("_sw_found"), FANOUT >> b
+        here = F.get("_sw_cuts", found + (s - 1))
+        rows = rows.withColumn("_sw_found", found + F.when(here < value, F.lit(s)).otherwise(F.lit(0)))
+    return rows
 
 
 def _bucketed(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -> DataFrame:
@@ -193,6 +203,11 @@ def _bucketed(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -
     return split_along(base, order_by, _sizes(hot, block_rows), hot.count).drop("_sw_n", "_sw_nb")
 
 
+def _storable(df: DataFrame) -> bool:
+    """Whether Parquet takes every type (a column's name may say no as well, which only costs time)."""
+    return not any(word in df.schema.simpleString() for word in ("void", "interval"))
+
+
 def split_along(base: DataFrame, order_by: list[str], sizes: DataFrame, count: int | None) -> DataFrame:
     """Rows of the keys in ``sizes`` (``KEY``, ``_sw_n`` rows, ``_sw_nb`` buckets wanted) in even buckets along an order.
 
@@ -210,8 +225,10 @@ def split_along(base: DataFrame, order_by: list[str], sizes: DataFrame, count: i
         cuts = _cuts(rows, order_by, level)
         if FANOUT < most:
             cuts = stored_frame(cuts, "cuts")  # levels below read this one again
-        rows = rows.join(small(cuts), [KEY, BUCKET], "left")
-        rows = rows.withColumn(BUCKET, F.col(BUCKET) * FANOUT + _cuts_below(F.col("_sw_cuts"), F.struct(*order_by))).drop("_sw_cuts")
+        rows = _below_cuts(rows.join(small(cuts), [KEY, BUCKET], "left"), order_by)
+        rows = rows.withColumn(BUCKET, F.col(BUCKET) * FANOUT + F.col("_sw_found")).drop("_sw_cuts", "_sw_found")
+        if FANOUT < most and _storable(rows):
+            rows = stored_frame(rows, "buckets")  # each level, and each reader behind the last, would repeat all levels above
         level += 1
     return rows
 

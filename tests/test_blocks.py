@@ -8,6 +8,7 @@ from strataward.functions import ordered as ordered_module
 from strataward.functions.ordered import BLOCK, BUCKET, _bucketed, ordered, with_index
 from strataward.functions.quantiles import key_quantiles
 from strataward.functions.size import KEY, SkewPolicy, find_hot, key_column
+from strataward.operators.anomaly import iqr_anomaly
 
 SPLIT = SkewPolicy(mode="blocks", block_rows=100)
 
@@ -58,6 +59,24 @@ def test_splitter_tree_of_a_hundred_thousand_buckets(spark, monkeypatch):
     assert worst <= 40 and number > n / 4
 
 
+def test_splitter_tree_is_walked_once(spark):
+    """Readers of the bucketed rows don't repeat the lookups of every level; types that can't be stored still work."""
+    n = 3000
+    df = spark.range(n).select(F.lit("k").alias("k"), (F.col("id") * 1009 % n).alias("o"))
+    hot = find_hot(df, ["k"], SkewPolicy(mode="blocks"))
+    rows = _bucketed(df.withColumn(KEY, key_column(["k"])), ["o"], hot, 4)
+    assert rows.count() == n and "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    got = with_index(df.withColumn("nothing", F.lit(None)), ["k"], ["o"], policy=SkewPolicy(mode="blocks", block_rows=4))
+    assert got.where("o <> row_index").count() == 0 and got.count() == n
+
+
+def test_no_whole_group_statistics_where_every_group_is_split(spark):
+    df = spark.range(50).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"), F.col("id").cast("double").alias("v"))
+    flagged = iqr_anomaly(df, "v", ["k"], policy=SPLIT)
+    assert "percentile(" not in flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, flagged.collect())) == sorted(map(tuple, iqr_anomaly(df, "v", ["k"]).collect()))
+
+
 def test_quantiles_agree_on_nan_and_infinity(spark):
     rows = [("a", float("nan")), ("a", float("inf")), ("a", 1.0), ("a", float("-inf")), ("a", 2.0), ("b", None), ("b", 5.0)]
     df = spark.createDataFrame(rows, "k string, v double")

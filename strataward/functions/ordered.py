@@ -200,7 +200,8 @@ def _below_cuts(rows: DataFrame, order_by: list[str]) -> DataFrame:
 
 def _bucketed(base: DataFrame, order_by: list[str], hot: Hot, block_rows: int) -> DataFrame:
     """Rows with the bucket of their hot key, numbered along the order; 0 for all others."""
-    return split_along(base, order_by, _sizes(hot, block_rows), hot.count).drop("_sw_n", "_sw_nb")
+    rows = split_along(base, order_by, _sizes(hot, block_rows), hot.count).drop("_sw_n", "_sw_nb")
+    return stored_frame(rows, "buckets") if _storable(rows) else rows  # counted, numbered and summed from here
 
 
 def _storable(df: DataFrame) -> bool:
@@ -227,9 +228,9 @@ def split_along(base: DataFrame, order_by: list[str], sizes: DataFrame, count: i
             cuts = stored_frame(cuts, "cuts")  # levels below read this one again
         rows = _below_cuts(rows.join(small(cuts), [KEY, BUCKET], "left"), order_by)
         rows = rows.withColumn(BUCKET, F.col(BUCKET) * FANOUT + F.col("_sw_found")).drop("_sw_cuts", "_sw_found")
-        if FANOUT < most and _storable(rows):
-            rows = stored_frame(rows, "buckets")  # each level, and each reader behind the last, would repeat all levels above
         level += 1
+        if FANOUT**level < most and _storable(rows):
+            rows = stored_frame(rows, "buckets")  # the levels below would repeat this one
     return rows
 
 

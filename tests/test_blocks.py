@@ -64,8 +64,9 @@ def test_splitter_tree_is_walked_once(spark):
     n = 3000
     df = spark.range(n).select(F.lit("k").alias("k"), (F.col("id") * 1009 % n).alias("o"))
     hot = find_hot(df, ["k"], SkewPolicy(mode="blocks"))
-    rows = _bucketed(df.withColumn(KEY, key_column(["k"])), ["o"], hot, 4)
-    assert rows.count() == n and "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    for block_rows in (4, 100):  # two levels and one
+        rows = _bucketed(df.withColumn(KEY, key_column(["k"])), ["o"], hot, block_rows)
+        assert rows.count() == n and "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
     got = with_index(df.withColumn("nothing", F.lit(None)), ["k"], ["o"], policy=SkewPolicy(mode="blocks", block_rows=4))
     assert got.where("o <> row_index").count() == 0 and got.count() == n
 
